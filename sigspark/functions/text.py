@@ -135,16 +135,15 @@ def ngrams(tokens: Column | str, low: int = 1, high: int = 2) -> Column:
     if not 1 <= low <= high:
         raise ValueError(f"bad n-gram range: {low}, {high}")
     tokens = _col(tokens)
-    parts = []
-    for n in range(low, high + 1):
-        if n == 1:
-            parts.append(tokens)
-            continue
-        starts = F.sequence(F.lit(1), F.size(tokens) - (n - 1))
-        grams = F.transform(starts, lambda i, n=n: F.array_join(F.slice(tokens, i, n), " "))
-        parts.append(
-            F.when(F.size(tokens) >= n, grams).otherwise(F.array().cast("array<string>"))
-        )
+    # Each n extends the (n-1)-grams by the token n-1 places further on: linear in the text.
+    grams, parts = tokens, []
+    for n in range(1, high + 1):
+        if n > 1:
+            rest = F.slice(tokens, F.lit(n), F.greatest(F.size(tokens), F.lit(1)))
+            # Past the end the shorter list is padded with null, and concat makes the gram null.
+            grams = F.zip_with(grams, rest, lambda a, b: F.concat(a, F.lit(" "), b))
+        if n >= low:
+            parts.append(grams if n == 1 else F.filter(grams, lambda g: g.isNotNull()))
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 

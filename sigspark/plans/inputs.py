@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as lx
+from ..sources.corpus import spread
 
 TICKERS = 5
 
@@ -24,6 +25,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def documents(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
+    scan = table(spark, folder, "documents").select("doc_id", "text", *extra)
+    return spread(scan, "doc_id")
+
+
 def phrase(id_column: str):
     phrases = F.array(*[F.lit(p) for p in PHRASES])
     return F.get(phrases, F.pmod(F.col(id_column), F.lit(len(PHRASES))).cast("int"))
@@ -31,7 +37,7 @@ def phrase(id_column: str):
 
 def texts(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, text): whole documents with a phrase appended."""
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         "doc_id", F.concat_ws(" ", "text", phrase("doc_id")).alias("text")
     )
 
