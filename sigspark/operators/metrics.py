@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import materialise
 from .order import average_ranks, bucket_by_value, prefix_sums
 
 
@@ -50,7 +51,8 @@ def signal_eval(df: DataFrame, score: str, target: str, buckets: int | None = No
 
     Zero counts as "not up" on both sides. Without rows n is 0 and the rest null.
     """
-    data = df.select(score, target).na.drop()
+    # Read seven times below, and small next to the articles it comes from: computed once.
+    data = materialise(df.select(score, target).na.drop())
     up = (F.col(score) > 0) == (F.col(target) > 0)
     plain = data.agg(
         F.count(F.lit(1)).alias("n"),

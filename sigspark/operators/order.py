@@ -34,9 +34,10 @@ def bucket_by_value(df: DataFrame, column: str, buckets: int | None = None) -> D
     )
     splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
     if len(splits) == 2:
-        return df.withColumn(BUCKET, F.lit(0.0))
+        return df.withColumn(BUCKET, F.lit(0))
     cutter = Bucketizer(splits=splits, inputCol="_cut", outputCol=BUCKET, handleInvalid="keep")
-    return cutter.transform(df.withColumn("_cut", F.col(column).cast("double"))).drop("_cut")
+    cut = cutter.transform(df.withColumn("_cut", F.col(column).cast("double"))).drop("_cut")
+    return cut.withColumn(BUCKET, F.col(BUCKET).cast("int"))
 
 
 def bucket_by_hash(df: DataFrame, digest: str, bits: int = 12) -> DataFrame:
@@ -161,6 +162,17 @@ def group_quantiles(
     )
 
 
+def has_large_group(df: DataFrame, groups: Sequence[str], max_group_rows: int) -> bool:
+    """Whether a group holds more than ``max_group_rows`` rows.
+
+    The plain row count comes first: on a Parquet scan it reads footers only.
+    """
+    if df.count() <= max_group_rows:
+        return False
+    sizes = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_rows"))
+    return not sizes.filter(F.col("_rows") > max_group_rows).isEmpty()
+
+
 def group_median(
     df: DataFrame,
     groups: Sequence[str],
@@ -168,22 +180,20 @@ def group_median(
     out: str,
     max_group_rows: int = 5_000_000,
 ) -> DataFrame:
-    """Exact median per group.
+    """Exact median per group, whatever the group sizes.
 
-    The built-in median keeps a group's values in one task. Groups above ``max_group_rows`` (at
-    most total/max_group_rows of them) therefore take the bucketed way; AQE removes that branch
-    when there are none.
+    The built-in median keeps a group's values in one task. Groups above ``max_group_rows`` take
+    the bucketed way instead; there are at most total / max_group_rows of them, which bounds the
+    broadcast list, and AQE drops that branch when the list is empty.
     """
     groups = list(groups)
     present = df.select(*groups, column)
     large = (
         present.groupBy(*groups)
-        .agg(F.count(column).alias("_rows"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > max_group_rows)
         .select(*groups)
     )
-    if large.isEmpty():
-        return present.groupBy(*groups).agg(F.median(column).alias(out))
     marker = F.broadcast(large)
     small = present.join(marker, groups, "left_anti").groupBy(*groups).agg(
         F.median(column).alias(out)

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window, WindowSpec
 
 from ..functions.sentiment import volume_weighted
 from .asof import asof_join
-from .order import group_median
+from .order import group_median, has_large_group
 
 PRICE_FEATURES = (
     "daily_return",
@@ -91,8 +91,7 @@ def daily_aggregate(articles: DataFrame, *, max_group_rows: int = 5_000_000) ->
         F.max(F.abs("sentiment_score")).alias("max_abs_sentiment"),
         F.count(F.lit(1)).alias("article_count"),
     ]
-    largest = dated.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    if (largest or 0) <= max_group_rows:
+    if not has_large_group(dated, keys, max_group_rows):
         daily = dated.groupBy(*keys).agg(F.median("sentiment_score").alias("sentiment_score"), *spread)
     else:
         middle = group_median(dated, keys, "sentiment_score", "sentiment_score", max_group_rows)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import text_queries
+from . import metric_queries, signal_queries, text_queries
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES"]
+flagship = signal_queries.signal_eval
+
+__all__ = ["ORACLES", "QUERIES", "flagship", "metric_queries", "text_queries"]

@@ -65,6 +65,12 @@ def articles(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _mean_price():
+    # Summed in cents: the same on every engine, whatever the order of the rows.
+    cents = F.round(F.col("o_totalprice") * 100).cast("long")
+    return F.sum(cents) / (F.count(F.lit(1)) * F.lit(100.0))
+
+
 def prices(spark: SparkSession, folder: str) -> DataFrame:
     """(ticker, date, adjusted_close) on weekdays, from order totals."""
     return (
@@ -76,7 +82,7 @@ def prices(spark: SparkSession, folder: str) -> DataFrame:
         )
         .filter(F.weekday("date") < 5)
         .groupBy("ticker", "date")
-        .agg(F.round(F.avg("o_totalprice"), 2).alias("adjusted_close"))
+        .agg(_mean_price().alias("adjusted_close"))
     )
 
 
@@ -87,7 +93,7 @@ def benchmark(spark: SparkSession, folder: str) -> DataFrame:
         .select(F.to_date("o_orderdate").alias("date"), "o_totalprice")
         .filter(F.weekday("date") < 5)
         .groupBy("date")
-        .agg(F.round(F.avg("o_totalprice"), 2).alias("adjusted_close"))
+        .agg(_mean_price().alias("adjusted_close"))
     )
 
 

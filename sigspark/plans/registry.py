@@ -70,12 +70,13 @@ CTES: dict[str, tuple[str, str]] = {
     "prices": (
         "",
         "SELECT 'T' || (o_custkey % 5) AS ticker, CAST(o_orderdate AS DATE) AS date, "
-        "round(avg(o_totalprice), 2) AS adjusted_close FROM orders "
+        "sum(CAST(round(o_totalprice * 100) AS BIGINT)) / (count(*) * 100.0::DOUBLE) AS adjusted_close FROM orders "
         "WHERE isodow(o_orderdate) < 6 GROUP BY 1, 2",
     ),
     "bench": (
         "",
-        "SELECT CAST(o_orderdate AS DATE) AS date, round(avg(o_totalprice), 2) AS adjusted_close "
+        "SELECT CAST(o_orderdate AS DATE) AS date, "
+        "sum(CAST(round(o_totalprice * 100) AS BIGINT)) / (count(*) * 100.0::DOUBLE) AS adjusted_close "
         "FROM orders WHERE isodow(o_orderdate) < 6 GROUP BY 1",
     ),
     "daily": (
