@@ -21,14 +21,16 @@ def _no_nan(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
-def spearman(df: DataFrame, a: str, b: str, buckets: int | None = None) -> DataFrame:
+def spearman(
+    df: DataFrame, a: str, b: str, buckets: int | None = None, small_rows: int | None = None
+) -> DataFrame:
     """One row ``spearman_corr``: Pearson correlation of the average ranks.
 
     Ranks have mean (n + 1) / 2 by construction, so the sums are taken around it.
     """
     pairs = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("_c"))
-    rank_a = average_ranks(df, a, buckets=buckets).select(a, F.col("avg_rank").alias("_ra"))
-    rank_b = average_ranks(df, b, buckets=buckets).select(b, F.col("avg_rank").alias("_rb"))
+    rank_a = average_ranks(df, a, (), buckets, small_rows).select(a, F.col("avg_rank").alias("_ra"))
+    rank_b = average_ranks(df, b, (), buckets, small_rows).select(b, F.col("avg_rank").alias("_rb"))
     size = df.agg(((F.count(F.lit(1)) + 1) / 2).alias("_mean"))
     x, y = F.col("_ra") - F.col("_mean"), F.col("_rb") - F.col("_mean")
     sums = (
@@ -46,7 +48,13 @@ def spearman(df: DataFrame, a: str, b: str, buckets: int | None = None) -> DataF
     )
 
 
-def signal_eval(df: DataFrame, score: str, target: str, buckets: int | None = None) -> DataFrame:
+def signal_eval(
+    df: DataFrame,
+    score: str,
+    target: str,
+    buckets: int | None = None,
+    small_rows: int | None = None,
+) -> DataFrame:
     """One row: n, Pearson, Spearman, directional accuracy, mean absolute difference.
 
     Zero counts as "not up" on both sides. Without rows n is 0 and the rest null.
@@ -60,7 +68,7 @@ def signal_eval(df: DataFrame, score: str, target: str, buckets: int | None = No
         F.avg(up.cast("double")).alias("directional_accuracy"),
         F.avg(F.abs(F.col(target) - F.col(score))).alias("mae"),
     )
-    return plain.crossJoin(spearman(data, score, target, buckets)).select(
+    return plain.crossJoin(spearman(data, score, target, buckets, small_rows)).select(
         "n", "pearson_corr", "spearman_corr", "directional_accuracy", "mae"
     )
 
@@ -217,6 +225,7 @@ def roc_auc_ovr(
     classes: int,
     groups: Sequence[str] = (),
     buckets: int | None = None,
+    small_rows: int | None = None,
 ) -> DataFrame:
     """(groups, class, auc): one-vs-rest area under the ROC curve from average ranks.
 
@@ -231,7 +240,10 @@ def roc_auc_ovr(
     counts = each.groupBy(*keys, F.col("_s").cast("double").alias("_s")).agg(
         F.count(F.lit(1)).alias("_n"), F.count_if(F.col("_y") == F.col("class")).alias("_p")
     )
-    ranked = prefix_sums(bucket_by_value(counts, "_s", buckets), ["_s"], F.col("_n"), keys)
+    cut = bucket_by_value(
+        counts, "_s", buckets, counted=df, copies=classes, small_rows=small_rows
+    )
+    ranked = prefix_sums(cut, ["_s"], F.col("_n"), keys)
     rank = F.col("before") + (F.col("_n") + 1) / 2
     sums = ranked.groupBy(*keys).agg(
         F.sum(F.col("_p") * rank).alias("_r"), F.sum("_p").alias("_p"), F.sum("_n").alias("_n")
@@ -292,26 +304,63 @@ def evaluation_records(
 ) -> DataFrame:
     """(groups, metrics): one record per group in the layout of a result document.
 
-    Everything after the first aggregate works on the k * k confusion counts, so the lists built
-    here hold k entries. Groups whose probabilities are all null get no AUC.
+    One aggregate by cell, then one row per group with its k * k cells; the rest is arithmetic on
+    that row. Groups whose probabilities are all null get no AUC.
     """
     k = len(class_names)
     keys = list(groups) or ["_all"]
     if not groups:
         predictions = predictions.withColumn("_all", F.lit(0))
-    counts = confusion(predictions, label, predicted, range(k), keys)
-    scores = class_scores(counts, keys)
+    each = F.sequence(F.lit(0), F.lit(k - 1))
+    zero = F.lit(0).cast("long")
+    y, p = F.col(label).cast("int"), F.col(predicted).cast("int")
+    cells = (
+        predictions.groupBy(*keys, (y * k + p).alias("_cell"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy(*keys)
+        .agg(F.map_from_entries(F.collect_list(F.struct("_cell", "_n"))).alias("_cells"))
+    )
 
-    def listed(key: str, value: str) -> Column:
-        return F.array_sort(F.collect_list(F.struct(key, value))).getField(value)
+    def total(values: Column) -> Column:
+        return F.aggregate(values, zero, lambda acc, n: acc + n)
 
-    totals = summary_scores(scores, keys).withColumnRenamed("support", "_support")
-    per_class = scores.groupBy(*keys).agg(
-        *[listed("label", c).alias(c) for c in ("precision", "recall", "f1", "support")]
+    def divided(a: Column, b: Column) -> Column:
+        return F.zip_with(a, b, _ratio)
+
+    def averaged(values: str, weights: str | None = None) -> Column:
+        terms = F.col(values) if weights is None else F.zip_with(values, weights, lambda v, w: v * w)
+        sums = F.aggregate(terms, F.lit(0.0), lambda acc, v: acc + v)
+        return sums / k if weights is None else _ratio(sums, F.col("_support"))
+
+    joined = (
+        cells.withColumn(
+            "confusion_matrix",
+            F.transform(each, lambda i: F.transform(
+                each, lambda j: F.coalesce(F.try_element_at("_cells", i * k + j), zero)
+            )),
+        )
+        .withColumns({
+            "support": F.transform("confusion_matrix", total),
+            "_called": F.transform(each, lambda j: total(
+                F.transform("confusion_matrix", lambda row: F.get(row, j))
+            )),
+            "_hits": F.transform(each, lambda i: F.get(F.get("confusion_matrix", i), i)),
+        })
+        .withColumns({
+            "precision": divided(F.col("_hits"), F.col("_called")),
+            "recall": divided(F.col("_hits"), F.col("support")),
+            "f1": divided(
+                F.transform("_hits", lambda h: h * 2),
+                F.zip_with("_called", "support", lambda a, b: a + b),
+            ),
+            "_support": total(F.col("support")),
+        })
+        .withColumns({
+            "accuracy": _ratio(total(F.col("_hits")), F.col("_support")),
+            **{f"macro_{c}": averaged(c) for c in ("precision", "recall", "f1")},
+            **{f"weighted_{c}": averaged(c, "support") for c in ("precision", "recall", "f1")},
+        })
     )
-    cells = counts.groupBy(*keys, "label").agg(listed("prediction", "n").alias("cells"))
-    matrix = cells.groupBy(*keys).agg(listed("label", "cells").alias("confusion_matrix"))
-    joined = totals.join(per_class, keys).join(matrix, keys)
     if proba is None:
         joined = joined.withColumn("roc_auc_ovr", F.lit(None).cast("double"))
     else:

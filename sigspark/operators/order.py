@@ -2,7 +2,8 @@
 
 Everything here is one idea: cut the order into buckets that follow it, count rows per bucket,
 turn those few counts into offsets, and number rows inside each bucket. No window spans a whole
-group, so one group holding most of the data is still spread over all buckets.
+group, so one group holding most of the data is still spread over all buckets. Inputs that were
+counted and found small skip the buckets and use one plain window.
 """
 
 from __future__ import annotations
@@ -16,17 +17,32 @@ from pyspark.sql.window import Window
 
 BUCKET = "_bucket"
 
+# Rows one task may sort without buckets.
+SMALL_ROWS = 1_000_000
+
 
 def default_buckets(df: DataFrame) -> int:
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def bucket_by_value(df: DataFrame, column: str, buckets: int | None = None) -> DataFrame:
+def bucket_by_value(
+    df: DataFrame,
+    column: str,
+    buckets: int | None = None,
+    *,
+    counted: DataFrame | None = None,
+    copies: int = 1,
+    small_rows: int | None = None,
+) -> DataFrame:
     """Add ``_bucket``, non-decreasing in numeric ``column``, with about equal row counts.
 
-    The boundaries come from one approximate-quantile pass and are then literals, so every use of
+    Nothing is added when ``counted`` (``df`` itself, or a cheaper frame each row of which gives at
+    most ``copies`` rows of ``df``) has no more than ``small_rows`` rows. The boundaries come from one approximate-quantile pass and are then literals, so every use of
     the result agrees on them, also when a lost partition is computed again.
     """
+    limit = SMALL_ROWS if small_rows is None else small_rows
+    if (df if counted is None else counted).count() * copies <= limit:
+        return df
     buckets = buckets or default_buckets(df)
     probabilities = [i / buckets for i in range(1, buckets)]
     cuts = df.select(F.col(column).cast("double").alias("_v")).approxQuantile(
@@ -54,10 +70,18 @@ def prefix_sums(
 ) -> DataFrame:
     """Sum of ``weight`` over all rows of the same group that sort before the row.
 
-    ``df`` must carry ``_bucket`` following ``order``; rows of a group must differ in ``order``
-    and group columns must not be null.
+    ``df`` carries ``_bucket`` following ``order``, unless it is known to be small; rows of a group
+    must differ in ``order`` and group columns must not be null.
     """
     groups = list(groups)
+    if BUCKET not in df.columns:
+        before = (
+            Window.partitionBy(*(groups or [F.lit(0)]))
+            .orderBy(*order)
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        total = F.sum(F.lit(weight) if isinstance(weight, int) else weight)
+        return df.withColumn(out, F.coalesce(total.over(before), F.lit(0)))
     weighted = df.withColumn("_w", F.lit(weight) if isinstance(weight, int) else weight)
     ahead = Window.partitionBy(*(groups or [F.lit(0)])).orderBy(BUCKET)
     offsets = (
@@ -94,11 +118,15 @@ def value_counts(df: DataFrame, column: str, groups: Sequence[str] = ()) -> Data
 
 
 def average_ranks(
-    df: DataFrame, column: str, groups: Sequence[str] = (), buckets: int | None = None
+    df: DataFrame,
+    column: str,
+    groups: Sequence[str] = (),
+    buckets: int | None = None,
+    small_rows: int | None = None,
 ) -> DataFrame:
     """(groups, value, n, avg_rank): 1-based rank of each distinct value, ties averaged."""
     counts = value_counts(df, column, groups)
-    cut = bucket_by_value(counts, column, buckets)
+    cut = bucket_by_value(counts, column, buckets, counted=df, small_rows=small_rows)
     return prefix_sums(cut, [column], F.col("n"), groups).select(
         *groups, column, "n", (F.col("before") + (F.col("n") + 1) / 2).alias("avg_rank")
     )
@@ -128,11 +156,13 @@ def group_quantiles(
     column: str,
     probabilities: dict[str, float],
     buckets: int | None = None,
+    small_rows: int | None = None,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles per group, safe for groups of any size."""
     groups = list(groups)
     counts = value_counts(df, column, groups)
-    ranked = prefix_sums(bucket_by_value(counts, column, buckets), [column], F.col("n"), groups)
+    cut = bucket_by_value(counts, column, buckets, counted=df, small_rows=small_rows)
+    ranked = prefix_sums(cut, [column], F.col("n"), groups)
     sizes = counts.groupBy(*groups).agg(F.sum("n").alias("_size"))
     placed = ranked.join(sizes, groups) if groups else ranked.crossJoin(F.broadcast(sizes))
 
@@ -198,7 +228,9 @@ def group_median(
     small = present.join(marker, groups, "left_anti").groupBy(*groups).agg(
         F.median(column).alias(out)
     )
-    big = group_quantiles(present.join(marker, groups, "left_semi"), groups, column, {out: 0.5})
+    big = group_quantiles(
+        present.join(marker, groups, "left_semi"), groups, column, {out: 0.5}, small_rows=0
+    )
     return small.unionByName(big)
 
 

@@ -87,7 +87,7 @@ def best_models(
 
 
 def _two_decimals(value: Column) -> Column:
-    return F.coalesce(F.format_string("%.2f", F.bround(value, 2)), F.lit(""))
+    return F.when(value.isNotNull(), F.format_string("%.2f", F.bround(value, 2))).otherwise("")
 
 
 def _subset_grid(spark: SparkSession, subsets: Sequence[str]) -> DataFrame:

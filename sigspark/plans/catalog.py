@@ -1,10 +1,12 @@
-"""All registered queries."""
+"""All registered queries: importing a module below registers its queries."""
 
 from __future__ import annotations
 
-from . import metric_queries, signal_queries, text_queries
+from . import ingest_queries, metric_queries, report_queries, signal_queries, text_queries
 from .registry import ORACLES, QUERIES
 
+MODULES = (text_queries, signal_queries, metric_queries, ingest_queries, report_queries)
+
 flagship = signal_queries.signal_eval
 
-__all__ = ["ORACLES", "QUERIES", "flagship", "metric_queries", "text_queries"]
+__all__ = ["MODULES", "ORACLES", "QUERIES", "flagship"]

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import schemas
 from ..functions import lexicons as lx
@@ -29,6 +30,14 @@ def subset_order(subset: Column | str, canonical: Sequence[str] = lx.SUBSETS) ->
     return F.when(place > 0, place).otherwise(F.lit(len(canonical) + 1))
 
 
-def write_results(results: DataFrame, path: str) -> None:
-    """Write result documents as JSON, one folder per subset."""
-    results.write.mode("overwrite").partitionBy("subset").json(path)
+def write_results(results: DataFrame, path: str, *, by: Sequence[str] = ("subset",)) -> None:
+    """Write result documents as JSON lines, one folder per subset (and run)."""
+    results.write.mode("overwrite").partitionBy(*by).json(path)
+
+
+def read_written_results(
+    spark: SparkSession, path: str, *, by: Sequence[str] = ("subset",)
+) -> DataFrame:
+    """Read back what ``write_results`` wrote."""
+    folders = [StructField(name, StringType(), True) for name in by]
+    return spark.read.schema(StructType([*schemas.RESULTS, *folders])).json(path)
