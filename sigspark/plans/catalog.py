@@ -2,10 +2,24 @@
 
 from __future__ import annotations
 
-from . import ingest_queries, metric_queries, report_queries, signal_queries, text_queries
+from . import (
+    ingest_queries,
+    metric_queries,
+    model_queries,
+    report_queries,
+    signal_queries,
+    text_queries,
+)
 from .registry import ORACLES, QUERIES
 
-MODULES = (text_queries, signal_queries, metric_queries, ingest_queries, report_queries)
+MODULES = (
+    text_queries,
+    signal_queries,
+    metric_queries,
+    ingest_queries,
+    report_queries,
+    model_queries,
+)
 
 flagship = signal_queries.signal_eval
 
