@@ -18,8 +18,10 @@ from . import inputs, models, signal_study, text_study
 from .registry import query, rounded
 from .text_queries import STOP_WORDS
 
-# Unigrams keep the number of weights small; grids and tree counts are short ones.
-TEXT = text_study.TextOptions(stop_words=STOP_WORDS, ngram_range=(1, 1))
+# The registered runs use short grids, few rounds and a 500-term vocabulary; the defaults of the
+# functions they call are the full ones. All rows and whole texts are used.
+TEXT = text_study.TextOptions(stop_words=STOP_WORDS, max_features=500)
+ROUNDS = 10
 
 
 def _prepared(spark, folder):
@@ -29,8 +31,8 @@ def _prepared(spark, folder):
 
 def _search(spark, folder, spec):
     train, _, _ = _prepared(spark, folder)
-    folded = od.stratified_folds(train, "label", "doc_id").persist()
-    _, table = models.grid_search(folded, *spec, parallelism=4)
+    folded = od.stratified_folds(train, "label", "doc_id", k=3).persist()
+    _, table = models.grid_search(folded, *spec, folds=3, parallelism=4)
     folded.unpersist()
     return table.select(
         F.to_json("params").alias("params"), rounded("cv_macro_f1").alias("cv_macro_f1")
@@ -39,17 +41,17 @@ def _search(spark, folder, spec):
 
 @query("lr_grid")
 def lr_grid(spark, folder):
-    return _search(spark, folder, models.logistic_grid(c=(0.1, 10.0), max_iter=50))
+    return _search(spark, folder, models.logistic_grid(c=(0.1, 10.0), penalties=("l2",), max_iter=ROUNDS))
 
 
 @query("svm_grid")
 def svm_grid(spark, folder):
-    return _search(spark, folder, models.svm_grid(c=(0.1, 10.0), max_iter=50))
+    return _search(spark, folder, models.svm_grid(c=(0.1, 10.0), max_iter=ROUNDS))
 
 
 @query("rf_grid")
 def rf_grid(spark, folder):
-    return _search(spark, folder, models.forest_grid(trees=(20,), depths=(5, 10)))
+    return _search(spark, folder, models.forest_grid(trees=(ROUNDS,), depths=(3, 5)))
 
 
 @query("text_model_run")
@@ -57,11 +59,11 @@ def text_model_run(spark, folder):
     """Two models searched, refitted and evaluated on the test part; one flat row each."""
     train, test, _ = _prepared(spark, folder)
     specs = {
-        "logistic_regression": models.logistic_grid(c=(1.0,), penalties=("l2",), max_iter=50),
-        "linear_svm": models.svm_grid(c=(1.0,), max_iter=50),
+        "logistic_regression": models.logistic_grid(c=(1.0,), penalties=("l2",), max_iter=ROUNDS),
+        "linear_svm": models.svm_grid(c=(1.0,), max_iter=ROUNDS),
     }
     document, _ = models.run_models(
-        train.persist(), test, specs, lx.LABEL_NAMES, dataset="documents", folds=3
+        train, test, specs, lx.LABEL_NAMES, dataset="documents", folds=2
     )
     return rp.flatten_results(document, "dataset")
 
@@ -70,7 +72,7 @@ def text_model_run(spark, folder):
 def score_text(spark, folder):
     """Train on the labelled texts, then score every document and conversation turn."""
     train, _, vectors = _prepared(spark, folder)
-    model = models.BalancedLogistic(max_iter=50).fit(train)
+    model = models.BalancedLogistic(max_iter=ROUNDS).fit(train)
     documents = inputs.documents(spark, folder).select(
         F.concat(F.lit("d"), "doc_id").alias("text_id"), "text"
     )
@@ -88,7 +90,7 @@ def score_text(spark, folder):
 @query("lr_top_terms")
 def lr_top_terms(spark, folder):
     train, _, vectors = _prepared(spark, folder)
-    model = models.BalancedLogistic(max_iter=50).fit(train)
+    model = models.BalancedLogistic(max_iter=ROUNDS).fit(train)
     rows = rp.coefficient_rows(
         spark, models.coefficient_matrix(model), feature_names(vectors), lx.LABEL_NAMES
     )

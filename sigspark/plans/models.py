@@ -39,8 +39,21 @@ class MacroF1(Evaluator):
         self.label, self.prediction = label, prediction
 
     def _evaluate(self, dataset: DataFrame) -> float:
-        scores = me.class_scores(me.confusion(dataset, self.label, self.prediction))
-        return scores.agg(F.avg("f1")).first()[0] or 0.0
+        cells = (
+            dataset.groupBy(
+                F.col(self.label).cast("int").alias("y"),
+                F.col(self.prediction).cast("int").alias("p"),
+            )
+            .agg(F.count(F.lit(1)).alias("n"))
+            .collect()
+        )
+        # One row per cell of the confusion matrix.
+        hits = {r["y"]: r["n"] for r in cells if r["y"] == r["p"]}
+        seen: dict[int, int] = {}
+        for r in cells:
+            for c in (r["y"], r["p"]):
+                seen[c] = seen.get(c, 0) + r["n"]
+        return sum(2 * hits.get(c, 0) / n for c, n in seen.items()) / len(seen) if seen else 0.0
 
     def isLargerBetter(self) -> bool:
         return True
@@ -110,22 +123,30 @@ class _OneVsRest(Estimator):
         raise NotImplementedError
 
     def _fit(self, dataset: DataFrame) -> OneVsRestModel:
-        sizes = class_sizes(dataset, self.label)
-        n, k = sum(sizes.values()), len(sizes)
-        if k < 2:
-            raise ValueError(f"need two classes to train, got {sorted(sizes)}")
         wide = _with_constant(dataset, self.features).select(
             F.col(self.label).cast("int").alias("_c"), "_x"
         )
-        models = []
-        for c in sorted(sizes):
-            own = n / (k * sizes[c])
-            target = wide.select(
-                "_x",
-                (F.col("_c") == c).cast("double").alias("_y"),
-                F.when(F.col("_c") == c, own).otherwise(1.0).alias("_weight"),
-            )
-            models.append(self._binary(own * sizes[c] + n - sizes[c]).fit(target))
+        # Read once per class below; recomputed from its lineage if an executor is lost.
+        wide = wide.persist()
+        try:
+            sizes = class_sizes(wide, "_c")
+            n, k = sum(sizes.values()), len(sizes)
+            if k < 2:
+                raise ValueError(f"need two classes to train, got {sorted(sizes)}")
+
+            def one(c: int):
+                own = n / (k * sizes[c])
+                target = wide.select(
+                    "_x",
+                    (F.col("_c") == c).cast("double").alias("_y"),
+                    F.when(F.col("_c") == c, own).otherwise(1.0).alias("_weight"),
+                )
+                return self._binary(own * sizes[c] + n - sizes[c]).fit(target)
+
+            with ThreadPoolExecutor(min(k, 8)) as pool:
+                models = list(pool.map(one, sorted(sizes)))
+        finally:
+            wide.unpersist()
         return OneVsRestModel(models, sorted(sizes), self.features, self.slope)
 
 
