@@ -77,7 +77,7 @@ class OneVsRestModel(Model):
         self.features, self.slope = features, slope
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        wide = _with_constant(dataset, self.features)
+        wide = dataset
         raw = [f"_raw{i}" for i in range(len(self.models))]
         for name, model in zip(raw, self.models):
             wide = model.setRawPredictionCol(name).setPredictionCol("").transform(wide)
@@ -95,14 +95,7 @@ class OneVsRestModel(Model):
                 .withColumn("proba", F.transform("_p", lambda x: x / F.col("_total")))
                 .drop("_p", "_total")
             )
-        return out.drop("_margins", "_constant", "_x", *raw)
-
-
-def _with_constant(df: DataFrame, features: str) -> DataFrame:
-    """Append a feature that is always 1, so that the intercept is penalised like any weight."""
-    return VectorAssembler(inputCols=[features, "_constant"], outputCol="_x").transform(
-        df.withColumn("_constant", F.lit(1.0))
-    )
+        return out.drop("_margins", *raw)
 
 
 class _OneVsRest(Estimator):
@@ -123,9 +116,7 @@ class _OneVsRest(Estimator):
         raise NotImplementedError
 
     def _fit(self, dataset: DataFrame) -> OneVsRestModel:
-        wide = _with_constant(dataset, self.features).select(
-            F.col(self.label).cast("int").alias("_c"), "_x"
-        )
+        wide = dataset.select(F.col(self.label).cast("int").alias("_c"), self.features)
         # Read once per class below; recomputed from its lineage if an executor is lost.
         wide = wide.persist()
         try:
@@ -137,7 +128,7 @@ class _OneVsRest(Estimator):
             def one(c: int):
                 own = n / (k * sizes[c])
                 target = wide.select(
-                    "_x",
+                    self.features,
                     (F.col("_c") == c).cast("double").alias("_y"),
                     F.when(F.col("_c") == c, own).otherwise(1.0).alias("_weight"),
                 )
@@ -151,10 +142,11 @@ class _OneVsRest(Estimator):
 
 
 class BalancedLogistic(_OneVsRest):
-    """Logistic regression with L1 or L2 penalty on all weights, the intercept included.
+    """Logistic regression with L1 or L2 penalty on the weights.
 
     MLlib divides the loss by the total weight W, so regParam = 1 / (C * W) gives the objective
-    penalty(w) + C * sum of weighted losses.
+    penalty(w) + C * sum of weighted losses. MLlib leaves the intercept free, where liblinear
+    penalises it; a constant feature is no way round, since MLlib ignores features without variance.
     """
 
     penalty = Param(Params._dummy(), "penalty", "l1 or l2", TypeConverters.toString)
@@ -172,8 +164,7 @@ class BalancedLogistic(_OneVsRest):
 
     def _binary(self, total_weight: float):
         return LogisticRegression(
-            featuresCol="_x", labelCol="_y", weightCol="_weight", fitIntercept=False,
-            standardization=False, maxIter=self.max_iter, tol=1e-6,
+            featuresCol=self.features, labelCol="_y", weightCol="_weight", standardization=False, maxIter=self.max_iter, tol=1e-6,
             elasticNetParam=1.0 if self.getOrDefault(self.penalty) == "l1" else 0.0,
             regParam=1.0 / (self.getOrDefault(self.C) * total_weight),
         ).setProbabilityCol("")
@@ -188,8 +179,7 @@ class BalancedSvm(_OneVsRest):
 
     def _binary(self, total_weight: float):
         return LinearSVC(
-            featuresCol="_x", labelCol="_y", weightCol="_weight", fitIntercept=False,
-            standardization=False, maxIter=self.max_iter, tol=1e-6,
+            featuresCol=self.features, labelCol="_y", weightCol="_weight", standardization=False, maxIter=self.max_iter, tol=1e-6,
             regParam=1.0 / (self.getOrDefault(self.C) * total_weight),
         )
 
@@ -209,7 +199,7 @@ class BoostedOneVsRest(_OneVsRest):
 
     def _binary(self, total_weight: float):
         return GBTClassifier(
-            featuresCol="_x", labelCol="_y", maxIter=self.getOrDefault(self.trees),
+            featuresCol=self.features, labelCol="_y", maxIter=self.getOrDefault(self.trees),
             maxDepth=self.getOrDefault(self.depth), stepSize=self.getOrDefault(self.rate), seed=SEED,
         ).setProbabilityCol("")
 
@@ -507,5 +497,5 @@ def run_models(
 
 
 def coefficient_matrix(model: OneVsRestModel):
-    """Coefficients per class, without the constant feature."""
-    return [m.coefficients.toArray()[:-1] for m in model.models]
+    """Coefficients per class."""
+    return [m.coefficients.toArray() for m in model.models]

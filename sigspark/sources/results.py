@@ -26,6 +26,7 @@ def read_results(spark: SparkSession, root: str) -> DataFrame:
 
 def subset_order(subset: Column | str, canonical: Sequence[str] = lx.SUBSETS) -> Column:
     """Sort key: canonical subsets in their order, all others after them (then by name)."""
+    subset = F.col(subset) if isinstance(subset, str) else subset
     place = F.array_position(F.array(*[F.lit(s) for s in canonical]), subset)
     return F.when(place > 0, place).otherwise(F.lit(len(canonical) + 1))
 
