@@ -115,7 +115,9 @@ def top_per_group(
 def top_words(df: DataFrame, n: int = 15, label: str = "label", text: str = "text") -> DataFrame:
     """Most frequent tokens of the lower-cased text per class."""
     words = (
-        df.select(label, F.explode(tx.tokenize(F.lower(text))).alias("token"))
+        # Outer, so that no size filter tokenises the text a second time.
+        df.select(label, F.explode_outer(tx.tokenize(F.lower(text))).alias("token"))
+        .filter(F.col("token").isNotNull())
         .groupBy(label, "token")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -135,7 +137,7 @@ def keyword_document_frequency(
     # The class total rides along as one extra "keyword", so the texts are scanned once.
     marked = F.concat(found, F.array(F.lit("")))
     counts = (
-        df.select(label, F.explode(marked).alias("keyword"))
+        df.select(label, F.explode_outer(marked).alias("keyword"))
         .groupBy(label, "keyword")
         .agg(F.count(F.lit(1)).alias("n"))
     )
