@@ -206,19 +206,16 @@ FROM (SELECT {score} AS s, excess_return AS t FROM excess WHERE {where})
 WHERE s IS NOT NULL AND t IS NOT NULL)"""
 
 
-def _study(spark, folder, options=signal_study.SignalOptions(), digits=6):
+def _study(spark, folder, options=signal_study.SignalOptions()):
     dataset = signal_study.daily_dataset(
         inputs.articles(spark, folder), inputs.prices(spark, folder),
         inputs.benchmark(spark, folder), options,
     )
+    if options.weight_by_article_count:
+        # Engines differ in the last bit of ln(): rounding keeps equal products equal in the ranks.
+        dataset = dataset.withColumn(options.score_column, F.round(options.score_column, 9))
     out = signal_study.evaluate(dataset, options)
-    return out.select(
-        "n",
-        *[
-            rounded(c, digits if c == "spearman_corr" else 6).alias(c)
-            for c in out.columns[1:]
-        ],
-    )
+    return out.select("n", *[rounded(c).alias(c) for c in out.columns[1:]])
 
 
 @query("signal_eval", FLAGSHIP.format(digits=6, score="sentiment_score", where="true"), needs="excess")
@@ -229,9 +226,8 @@ def signal_eval(spark, folder):
 @query(
     "signal_eval_weighted",
     FLAGSHIP.format(
-        # Engines differ in the last bit of ln(), which breaks near-ties of the score differently.
-        digits=4,
-        score="sentiment_score * ln(article_count + 1)",
+        digits=6,
+        score="round(sentiment_score * ln(article_count + 1), 9)",
         where="article_count >= 2 AND abs(sentiment_score) >= 0.1",
     ),
     needs="excess",
@@ -243,7 +239,6 @@ def signal_eval_weighted(spark, folder):
         signal_study.SignalOptions(
             weight_by_article_count=True, min_articles=2, min_abs_sentiment=0.1
         ),
-        digits=4,
     )
 
 
