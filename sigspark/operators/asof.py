@@ -27,7 +27,11 @@ def _carry(
     forward: bool,
     exact: bool,
 ) -> DataFrame:
-    """Every probe row with the struct of its quote (null when there is none)."""
+    """Every probe row with the struct of its quote (null when there is none).
+
+    The keys stay columns of their own next to the probe struct: rows leave partitioned by them,
+    so a following window or as-of join on the same keys needs no shuffle.
+    """
     quote_struct = F.struct(F.col(quote_day).alias(_DAY), *payload)
     none_probe = F.lit(None).cast(probes.select(F.struct("*")).schema[0].dataType)
     none_quote = F.lit(None).cast(quotes.select(quote_struct).schema[0].dataType)
@@ -51,7 +55,7 @@ def _carry(
         left.unionByName(right)
         .withColumn(_QUOTE, F.last(_QUOTE, ignorenulls=True).over(frame))
         .filter(F.col(_PROBE).isNotNull())
-        .select(_PROBE, _QUOTE)
+        .select(*by, _PROBE, _QUOTE)
     )
 
 
@@ -95,5 +99,6 @@ def asof_join(
     outputs = [F.when(usable, F.col(_QUOTE)[c]).alias(c) for c in payload]
     if matched_day is not None:
         outputs.append(F.when(usable, found).alias(matched_day))
-    matches = carried.select(f"{_PROBE}.*", *outputs)
+    kept = [c if c in by else F.col(_PROBE)[c].alias(c) for c in probes.columns]
+    matches = carried.select(*kept, *outputs)
     return matches if left_unique else left.join(matches, [*by, left_day], "left")

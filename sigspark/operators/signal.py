@@ -191,19 +191,28 @@ def attach_forward_returns(
 ) -> DataFrame:
     """Add ``next_day_return`` and, with a benchmark, ``benchmark_return`` and ``excess_return``.
 
-    The benchmark is looked up once per distinct day; that list is bounded by the calendar, so it
-    is broadcast back to the ticker-days.
+    The benchmark return is worked out for every day of the benchmark's calendar, not for the days
+    of the articles, so the articles are not read again for it. That table has one row per day and
+    is broadcast. All days before the first benchmark price share the day before it.
     """
     out = forward_returns(daily, prices, horizon_days)
     if benchmark is None:
         return out
-    days = daily.select("published_date").distinct().withColumn("ticker", F.lit("benchmark"))
+    one = F.lit("benchmark").alias("ticker")
+    span = benchmark.agg(
+        F.date_sub(F.min("date"), 1).alias("_first"), F.date_sub(F.max("date"), 1).alias("_last")
+    )
+    days = span.select(one, F.explode(F.sequence("_first", "_last")).alias("_day"))
     market = forward_returns(
-        days, benchmark.withColumn("ticker", F.lit("benchmark")), horizon_days,
-        out="benchmark_return",
+        days, benchmark.select(one, "date", "adjusted_close"), horizon_days,
+        day="_day", out="benchmark_return",
     ).drop("ticker")
-    return out.join(F.broadcast(market), "published_date", "left").withColumn(
-        "excess_return", F.col("next_day_return") - F.col("benchmark_return")
+    return (
+        out.crossJoin(F.broadcast(span.select("_first")))
+        .withColumn("_day", F.greatest("published_date", "_first"))
+        .join(F.broadcast(market), "_day", "left")
+        .withColumn("excess_return", F.col("next_day_return") - F.col("benchmark_return"))
+        .drop("_day", "_first")
     )
 
 

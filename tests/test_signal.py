@@ -142,6 +142,19 @@ def test_excess_returns_without_and_with_benchmark(spark):
     assert math.isclose(got["A"], 1.0 - 0.1) and math.isclose(got["B"], 0.25 - 0.1)
 
 
+def test_benchmark_calendar_edges(spark):
+    # Days long before the first benchmark price, on it, on the last one and long after.
+    offsets = [-400, -1, 0, 1, 2, 3, 400]
+    daily = spark.createDataFrame([("A", day(i)) for i in offsets], "ticker string, published_date date")
+    market = price_frame(spark, [1.0, 2.0, 4.0, 5.0]).drop("ticker")
+    prices = price_frame(spark, [1.0, 1.0])
+    out = signal.attach_forward_returns(daily, prices, market, 1).collect()
+    got = {(r["published_date"] - DAY0).days: r["benchmark_return"] for r in out}
+    assert got == {-400: 1.0, -1: 1.0, 0: 1.0, 1: 0.25, 2: None, 3: None, 400: None}
+    none = signal.attach_forward_returns(daily, prices, market.filter("date IS NULL"), 1).collect()
+    assert len(none) == 7 and all(r["benchmark_return"] is None for r in none)
+
+
 def test_required_columns(spark):
     with pytest.raises(ValueError):
         signal.require_columns(spark.range(1), ["id", "nope"])
