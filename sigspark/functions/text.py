@@ -108,7 +108,7 @@ def lemmatise_with_table(
             F.map_from_entries(F.collect_list(F.struct("token", "lemma"))).alias("_lemmas")
         )
         return (
-            df.crossJoin(F.broadcast(as_map))
+            df.withColumn("_lemmas", as_map.scalar())
             .withColumn(tokens, lemmatise(tokens, F.col("_lemmas")))
             .drop("_lemmas")
         )

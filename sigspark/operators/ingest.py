@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as lx
@@ -51,18 +51,13 @@ def window_plan(ranges: DataFrame, window_days: int, *keep: str) -> DataFrame:
     )
 
 
-def request_plan(
-    spark: SparkSession, tickers: DataFrame, start: str, end: str, window_days: int
-) -> DataFrame:
+def request_plan(tickers: DataFrame, start: str, end: str, window_days: int) -> DataFrame:
     """Every (window, ticker) request from ``start`` to ``end``, in window and ticker order.
 
     ``tickers`` carries (ticker, ticker_index).
     """
-    span = spark.range(1).select(
-        F.to_date(F.lit(start)).alias("start_date"), F.to_date(F.lit(end)).alias("end_date")
-    )
-    # One row per calendar block: bounded, so the ticker side is never shuffled.
-    return tickers.crossJoin(F.broadcast(window_plan(span, window_days)))
+    span = {"start_date": F.to_date(F.lit(start)), "end_date": F.to_date(F.lit(end))}
+    return window_plan(tickers.withColumns(span), window_days, *tickers.columns)
 
 
 def business_days(start: Column, end: Column) -> Column:
@@ -196,12 +191,12 @@ def merge_feeds(
 def merge_definitions(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """First non-empty definition text of two one-row metadata frames."""
     names = ("sentiment_score_definition", "relevance_score_definition")
-    a = existing.select(*[F.col(n).alias(f"_a{i}") for i, n in enumerate(names)])
-    b = incoming.select(*[F.col(n).alias(f"_b{i}") for i, n in enumerate(names)])
-    return a.crossJoin(F.broadcast(b)).select(
+    return existing.select(
         *[
-            F.coalesce(F.nullif(F.col(f"_a{i}"), F.lit("")), F.col(f"_b{i}"), F.lit("")).alias(n)
-            for i, n in enumerate(names)
+            F.coalesce(
+                F.nullif(F.col(n), F.lit("")), incoming.select(n).scalar(), F.lit("")
+            ).alias(n)
+            for n in names
         ]
     )
 

@@ -31,12 +31,12 @@ def spearman(
     pairs = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("_c"))
     rank_a = average_ranks(df, a, (), buckets, small_rows).select(a, F.col("avg_rank").alias("_ra"))
     rank_b = average_ranks(df, b, (), buckets, small_rows).select(b, F.col("avg_rank").alias("_rb"))
-    size = df.agg(((F.count(F.lit(1)) + 1) / 2).alias("_mean"))
+    mean = df.agg((F.count(F.lit(1)) + 1) / 2).scalar()
     x, y = F.col("_ra") - F.col("_mean"), F.col("_rb") - F.col("_mean")
     sums = (
         pairs.join(rank_a, a)
         .join(rank_b, b)
-        .crossJoin(F.broadcast(size))
+        .withColumn("_mean", mean)
         .agg(
             F.sum(F.col("_c") * x * y).alias("xy"),
             F.sum(F.col("_c") * x * x).alias("xx"),
@@ -68,7 +68,8 @@ def signal_eval(
         F.avg(up.cast("double")).alias("directional_accuracy"),
         F.avg(F.abs(F.col(target) - F.col(score))).alias("mae"),
     )
-    return plain.crossJoin(spearman(data, score, target, buckets, small_rows)).select(
+    ranked = spearman(data, score, target, buckets, small_rows)
+    return plain.withColumn("spearman_corr", ranked.scalar()).select(
         "n", "pearson_corr", "spearman_corr", "directional_accuracy", "mae"
     )
 

@@ -164,7 +164,7 @@ def group_quantiles(
     cut = bucket_by_value(counts, column, buckets, counted=df, small_rows=small_rows)
     ranked = prefix_sums(cut, [column], F.col("n"), groups)
     sizes = counts.groupBy(*groups).agg(F.sum("n").alias("_size"))
-    placed = ranked.join(sizes, groups) if groups else ranked.crossJoin(F.broadcast(sizes))
+    placed = ranked.join(sizes, groups) if groups else ranked.withColumn("_size", sizes.scalar())
 
     def at(position: Column) -> Column:
         here = (F.col("before") <= position) & (position < F.col("before") + F.col("n"))
@@ -314,12 +314,11 @@ def time_split(
     df: DataFrame, order: Sequence[str], coarse: str, *, train_share: float = 0.8
 ) -> DataFrame:
     """Add ``part``: the first int(train_share * n) rows in ``order`` train, the others test."""
-    total = df.agg(F.count(F.lit(1)).alias("_n"))
-    cut = F.floor(F.col("_n") * F.lit(train_share))
+    total = df.agg(F.count(F.lit(1))).scalar()
     return (
         row_index(df, order, coarse, out="_place")
-        .crossJoin(F.broadcast(total))
-        .withColumn("part", F.when(F.col("_place") < cut, "train").otherwise("test"))
+        .withColumn("_n", F.floor(total * F.lit(train_share)))
+        .withColumn("part", F.when(F.col("_place") < F.col("_n"), "train").otherwise("test"))
         .drop("_place", "_n")
     )
 
@@ -329,12 +328,12 @@ def time_folds(df: DataFrame, order: Sequence[str], coarse: str, *, splits: int
 
     Test blocks have n // (splits + 1) rows and close the order; everything before is training.
     """
-    total = df.agg(F.count(F.lit(1)).alias("_n"))
+    total = df.agg(F.count(F.lit(1))).scalar()
     block = F.floor(F.col("_n") / F.lit(splits + 1))
     start = F.col("_n") - (F.lit(splits) - F.col("fold")) * block
     return (
         row_index(df, order, coarse, out="_place")
-        .crossJoin(F.broadcast(total))
+        .withColumn("_n", total)
         .withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))))
         .withColumn(
             "part",

@@ -202,10 +202,9 @@ def metric_series(
     canonical: Sequence[str] = tuple(s.replace("sentences_", "") for s in lx.SUBSETS),
 ) -> DataFrame:
     """(subset, run, metrics) over the whole subset x run grid, 0 where a run is missing."""
-    subsets = rows.select("subset").distinct()
-    runs = rows.select(run).distinct()
-    # Both sides hold one row per subset or run of the report.
-    grid = subsets.crossJoin(F.broadcast(runs))
+    # A report holds few runs; their names fit in one list.
+    runs = rows.agg(F.collect_set(run)).scalar()
+    grid = rows.select("subset").distinct().withColumn(run, F.explode(runs))
     return (
         grid.join(rows.select("subset", run, *metrics), ["subset", run], "left")
         .na.fill(0.0, list(metrics))

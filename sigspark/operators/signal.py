@@ -208,7 +208,7 @@ def attach_forward_returns(
         day="_day", out="benchmark_return",
     ).drop("ticker")
     return (
-        out.crossJoin(F.broadcast(span.select("_first")))
+        out.withColumn("_first", span.select("_first").scalar())
         .withColumn("_day", F.greatest("published_date", "_first"))
         .join(F.broadcast(market), "_day", "left")
         .withColumn("excess_return", F.col("next_day_return") - F.col("benchmark_return"))

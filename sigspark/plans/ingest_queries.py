@@ -118,7 +118,7 @@ def request_plan(spark, folder):
     tickers = encode_labels(names, "source", "ticker_index").select(
         F.upper("source").alias("ticker"), F.col("ticker_index").cast("long").alias("ticker_index")
     )
-    plan = ig.request_plan(spark, tickers, "2024-01-01", "2024-02-15", 10)
+    plan = ig.request_plan(tickers, "2024-01-01", "2024-02-15", 10)
     return plan.select(
         "ticker", "ticker_index", day_text("window_start").alias("window_start"),
         day_text("window_end").alias("window_end"),
