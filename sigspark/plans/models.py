@@ -29,6 +29,7 @@ from ..operators import order as od
 from ..operators import signal
 
 SEED = 42
+ROWS_PER_TASK = 10_000
 
 
 class MacroF1(Evaluator):
@@ -132,6 +133,8 @@ class _OneVsRest(Estimator):
                     (F.col("_c") == c).cast("double").alias("_y"),
                     F.when(F.col("_c") == c, own).otherwise(1.0).alias("_weight"),
                 )
+                # Each iteration is a job: few rows are not worth many tasks. Large inputs keep theirs.
+                target = target.coalesce(n // ROWS_PER_TASK + 1)
                 return self._binary(own * sizes[c] + n - sizes[c]).fit(target)
 
             with ThreadPoolExecutor(min(k, 8)) as pool:
