@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..session import checkpoint_folder
 
@@ -177,3 +178,26 @@ def distinct_per_row(values: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.n
     fresh[1:] = (values[1:] != values[:-1]) | (rows[1:] != rows[:-1])
     values, rows = values[fresh], rows[fresh]
     return values, np.searchsorted(rows, np.arange(n + 1))
+
+
+# --- global order ---------------------------------------------------------------------------------
+
+
+def running_total(df: DataFrame, order: list, weight: Column, out: str) -> DataFrame:
+    """Add the sum of ``weight`` over all rows up to and with each row, in ``order``.
+
+    Rows are dealt by ranges of the order, summed in each range, and the sums of the ranges, one row
+    each, are added up; no task sees more than a range. ``order`` must decide between any two rows."""
+    placed = store(
+        df.repartitionByRange(*order).withColumns({"_range": F.spark_partition_id(), "_w": weight})
+    )
+    sums = placed.groupBy("_range").agg(F.sum("_w").alias("_sum"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        placed.withColumn("_inside", F.sum("_w").over(inside))
+        .join(sums, "_range")
+        .withColumn(out, F.col("_inside") + F.col("_before"))
+        .drop("_range", "_w", "_inside", "_before")
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import run_length_dedup, substring_dedup
+from . import line_dedup, minhash_dedup, mixing, pii, run_length_dedup, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +24,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op4_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Words the mix takes of each document."""
+    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
+    out = mixing.mix(docs)
+    return out.select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
+    )
+
+
+@query
+def op5_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate groups: three-word shingles, similarity of 0.85 or more."""
+    out = minhash_dedup.near_duplicates(table(spark, folder, "documents"), words=3, percent=85)
+    return out.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query
 def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Words outside every repeated 35-word window."""
@@ -31,6 +48,15 @@ def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts without later occurrences of three-line windows."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return line_dedup.remove_repeated_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
+query(op7_line_dedup, line_dedup.SQL.format(docs="documents"))
+
+
 @query
 def op9_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes outside every repeated 200-byte string."""
@@ -38,3 +64,21 @@ def op9_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and places of personal data."""
+    found = pii.find(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(name: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == name)).cast("long").alias(f"n_{name}")
+
+    counts = [count(k.name) for k in pii.BASE]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.notation(base), 256).alias("base_sha256"),
+        pii.notation(F.col("spans")).alias("spans"),
+    )
