@@ -87,6 +87,19 @@ def find_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+# Plain words: runs of ASCII letters, digits and bytes of longer characters, A-Z folded.
+PLAIN = np.full(256, 0x20, np.uint8)
+for _range in (range(48, 58), range(65, 91), range(97, 123), range(128, 256)):
+    PLAIN[list(_range)] = LOWER[list(_range)]
+
+
+def plain_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each plain word, index of the first one of each document)."""
+    plain = PLAIN[data]
+    starts, ends, first = find_words(plain, offsets)
+    return hash_words(plain, starts, ends), first
+
+
 # --- hashing --------------------------------------------------------------------------------------
 
 

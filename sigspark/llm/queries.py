@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, minhash_dedup, mixing, pii, run_length_dedup, substring_dedup
+from . import (
+    ball_tree,
+    line_dedup,
+    minhash_dedup,
+    mixing,
+    pii,
+    run_length_dedup,
+    substring_dedup,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +33,29 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten largest inner products of every hundredth vector."""
+    vectors = table(spark, folder, "embeddings").withColumn("v", ball_tree.whole_components())
+    return ball_tree.top_k(vectors, F.col("vec_id") % 100 == 0, 10)
+
+
+query(op1_exact_topk, ball_tree.SQL)
+
+
+@query
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Score of every document; labels of held-out rows are never learnt."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    net = toxicity.train(docs, table(spark, folder, "labels"))
+    return toxicity.score(docs, net).select(
+        "doc_id",
+        F.coalesce(toxicity.held_out(), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        "flagged",
+    )
+
+
 @query
 def op4_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words the mix takes of each document."""

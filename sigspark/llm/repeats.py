@@ -255,7 +255,9 @@ def repeated_spans(docs: DataFrame, windows: Windows, index: Index) -> DataFrame
             _segment_rows(windows), "did long, th long, pos int, len int, anchor long, seg long"
         )
     )
-    anchors = (
+    # Stored before each join: a join that shares a stage with the aggregate could not be split
+    # where one anchor has a large share of the rows.
+    anchors = c.store(
         found.groupBy("anchor")
         .agg(F.count(F.lit(1)).alias("n"), F.min("seg").alias("a"), F.max("seg").alias("b"))
         .filter("n > 1")
@@ -263,15 +265,18 @@ def repeated_spans(docs: DataFrame, windows: Windows, index: Index) -> DataFrame
     )
     again = c.store(found.join(anchors, "anchor"))
     # Different segments around one anchor: counts, and the document that supplies the content.
-    kinds = (
+    kinds = c.store(
         again.filter("multi")
         .groupBy("anchor", "seg")
         .agg(F.count(F.lit(1)).alias("w"), F.min(F.struct("did", "th", "pos", "len")).alias("rep"))
     )
-    sizes = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("d"), F.min("w").alias("least"))
-    kinds = c.store(kinds.join(sizes, "anchor"))
+    sizes = c.store(
+        kinds.groupBy("anchor")
+        .agg(F.count(F.lit(1)).alias("d"), F.min("w").alias("least"))
+        .filter("least = 1")
+    )
     wanted = (
-        kinds.filter("least = 1")
+        kinds.join(sizes, "anchor")
         .select("rep.*", "anchor", "seg", "w", "d")
         .groupBy("did", "th")
         .agg(F.collect_list(F.struct("pos", "len", "anchor", "seg", "w", "d")).alias("wanted"))
