@@ -93,11 +93,22 @@ for _range in (range(48, 58), range(65, 91), range(97, 123), range(128, 256)):
     PLAIN[list(_range)] = LOWER[list(_range)]
 
 
-def plain_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each plain word, index of the first one of each document)."""
+def plain_words(data: np.ndarray, offsets: np.ndarray, prefixes: tuple = ()) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, index of the first plain word of each document).
+
+    One hash for each word, or with ``prefixes`` a row: the word and its first bytes; a word that is
+    no longer than a prefix has 0 there."""
     plain = PLAIN[data]
     starts, ends, first = find_words(plain, offsets)
-    return hash_words(plain, starts, ends), first
+    roll = Rolling(BYTE_HASH[plain])
+    whole = roll.ranges(starts, ends)
+    if not prefixes:
+        return whole, first
+    parts = [
+        np.where(ends - starts > k, roll.ranges(starts, np.minimum(starts + k, ends), 20 + k), np.uint64(0))
+        for k in prefixes
+    ]
+    return np.stack([whole, *parts], 1), first
 
 
 # --- hashing --------------------------------------------------------------------------------------
