@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from . import common as c
 
-BLOCK = 512
+BLOCK = 4096
 SHARD_UNITS = 1 << 17
 
 # (segments, their counts, window length) -> for each segment, whether its windows repeat
@@ -89,6 +89,16 @@ def segments(values: np.ndarray, first: np.ndarray, windows: Windows):
     return begin, end, c.signed(grams[anchors[heads]]), c.signed(roll.ranges(begin, end, 2))
 
 
+def merged(begin, end, anchor, content, row):
+    """Runs of equal segments that touch, as periodic texts have them: (first segment, end of the
+    last one, how many). A run of two or more repeats whole."""
+    same = (anchor[1:] == anchor[:-1]) & (content[1:] == content[:-1]) & (row[1:] == row[:-1])
+    same &= begin[1:] <= end[:-1]
+    head = np.flatnonzero(np.append(True, ~same)) if len(begin) else np.zeros(0, np.int64)
+    after = np.append(head[1:], len(begin)).astype(np.int64)
+    return head, end[after - 1], after - head
+
+
 def _segment_rows(windows: Windows):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,16 +108,20 @@ def _segment_rows(windows: Windows):
                 values, first, _, _ = windows.read(data, offsets)
                 begin, end, anchor, content = segments(values, first, windows)
                 row = np.searchsorted(first, begin, "right") - 1
+                head, until, times = merged(begin, end, anchor, content, row)
+                begin, end, anchor, content, row = (x[head] for x in (begin, end, anchor, content, row))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(did[at + row]),
                         pa.array(th[at + row]),
                         pa.array((begin - first[row]).astype(np.int32)),
                         pa.array((end - begin).astype(np.int32)),
+                        pa.array((until - first[row]).astype(np.int32)),
+                        pa.array(times),
                         pa.array(anchor),
                         pa.array(content),
                     ],
-                    names=["did", "th", "pos", "len", "anchor", "seg"],
+                    names=["did", "th", "pos", "len", "end", "times", "anchor", "seg"],
                 )
 
     return run
@@ -252,14 +266,14 @@ def repeated_spans(docs: DataFrame, windows: Windows, index: Index) -> DataFrame
     ``docs`` has ``did, th, text`` (see ``common.row_key``). Ranges may overlap."""
     found = c.store(
         docs.select("did", "th", "text").mapInArrow(
-            _segment_rows(windows), "did long, th long, pos int, len int, anchor long, seg long"
+            _segment_rows(windows), "did long, th long, pos int, len int, end int, times long, anchor long, seg long"
         )
     )
     # Stored before each join: a join that shares a stage with the aggregate could not be split
     # where one anchor has a large share of the rows.
     anchors = c.store(
         found.groupBy("anchor")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("seg").alias("a"), F.max("seg").alias("b"))
+        .agg(F.sum("times").alias("n"), F.min("seg").alias("a"), F.max("seg").alias("b"))
         .filter("n > 1")
         .select("anchor", (F.col("a") != F.col("b")).alias("multi"))
     )
@@ -268,7 +282,7 @@ def repeated_spans(docs: DataFrame, windows: Windows, index: Index) -> DataFrame
     kinds = c.store(
         again.filter("multi")
         .groupBy("anchor", "seg")
-        .agg(F.count(F.lit(1)).alias("w"), F.min(F.struct("did", "th", "pos", "len")).alias("rep"))
+        .agg(F.sum("times").alias("w"), F.min(F.struct("did", "th", "pos", "len")).alias("rep"))
     )
     sizes = c.store(
         kinds.groupBy("anchor")
@@ -304,13 +318,14 @@ def repeated_spans(docs: DataFrame, windows: Windows, index: Index) -> DataFrame
         .select("anchor", "seg", "start", (F.col("start") + windows.length).cast("int").alias("end"))
     )
     inside = solved.select("anchor", "seg", F.explode("spans").alias("s")).select("anchor", "seg", "s.*")
-    whole = again.filter("not multi").select("did", "th", "pos", (F.col("pos") + F.col("len")).alias("end"))
+    whole = again.filter("not multi").select("did", "th", "pos", "end")
     split = again.filter("multi").join(kinds.select("anchor", "seg", "w"), ["anchor", "seg"])
     whole = whole.unionByName(
-        split.filter("w > 1").select("did", "th", "pos", (F.col("pos") + F.col("len")).alias("end"))
+        split.filter("w > 1").select("did", "th", "pos", "end")
     )
     parts = (
         split.filter("w = 1")
+        .drop("end")
         .join(inside.unionByName(late), ["anchor", "seg"])
         .select("did", "th", (F.col("pos") + F.col("start")).alias("pos"), (F.col("pos") + F.col("end")).alias("end"))
     )
