@@ -260,3 +260,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
         .select("doc_id", "n_shingles", "component_id", "kept", "did", "th")
     )
+
+
+def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates, the one with the least id.
+
+    Of rows that repeat id and text one stays; rows of a group that share the least id but not the
+    text all stay, as do rows of a group with null ids only, which no id names. Documents without
+    words stay. Columns are unchanged, but for _did and _th, which are dropped."""
+    did, th = c.row_key()
+    rows = docs.drop("_did", "_th").withColumns({"_did": did, "_th": th})
+    kept = near_duplicates(docs, words, percent).filter("kept")
+    keys = kept.select(F.col("did").alias("_did"), F.col("th").alias("_th"))
+    return rows.join(keys, ["_did", "_th"], "left_semi").dropDuplicates(["_did", "_th"]).drop("_did", "_th")

@@ -42,11 +42,13 @@ def targets(sources: DataFrame, budget: int, passes: int = PASSES) -> DataFrame:
     return sources.withColumn("target", F.least(limit.cast("double"), F.col("weight") * F.lit(level)))
 
 
-def mix(docs: DataFrame, passes: int = PASSES, weights: tuple = WEIGHTS, seed: int = 42) -> DataFrame:
+def mix(
+    docs: DataFrame, size: Column | None = None, passes: int = PASSES, weights: tuple = WEIGHTS, seed: int = 42
+) -> DataFrame:
     """``docs`` with size, source_size, target and copies (times the mix takes the document).
 
     Sources in code point order, null last, weigh ``weights`` in turn; the budget is all words of the
-    input. Sizes are whole-text word counts, 0 for a null text. A document without words is never
+    input. Sizes are whole-text word counts, 0 for a null text, unless ``size`` says otherwise. A document without words is never
     taken and a source without words has target 0. The order within a source is that of a seeded
     hash of the id, then id and size, so it does not depend on how the table is split; rows that
     agree in all of these are interchangeable. The mix ends before the first copy that would pass
@@ -54,9 +56,9 @@ def mix(docs: DataFrame, passes: int = PASSES, weights: tuple = WEIGHTS, seed: i
     replaced. An empty table gives no rows.
     """
     names = ["size", "source_size", "target", "copies"]
-    rows = docs.drop(*names, "_row").withColumn("_row", F.monotonically_increasing_id())
-    kept = rows.columns
-    rows = c.store(rows.withColumn("size", word_count()))
+    rows = docs.withColumn("_size", word_count() if size is None else size).drop(*names)
+    rows = c.store(rows.withColumn("_row", F.monotonically_increasing_id()).withColumnRenamed("_size", "size"))
+    kept = [k for k in rows.columns if k not in ("_row", "size")]
     small = rows.select("_row", F.col("doc_id").cast("long").alias("id"), "source", "size")
 
     sources = c.store(small.groupBy("source").agg(F.sum("size").alias("source_size")))
@@ -93,5 +95,5 @@ def mix(docs: DataFrame, passes: int = PASSES, weights: tuple = WEIGHTS, seed: i
         rows.join(per_source, F.col("source").eqNullSafe(F.col("_s")))
         .join(taken, "_row", "left")
         .withColumn("copies", F.coalesce("copies", F.lit(0)))
-        .select(*[k for k in kept if k != "_row"], *names)
+        .select(*kept, *names)
     )

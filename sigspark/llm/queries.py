@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from . import (
     ball_tree,
+    decontamination,
+    license_scan,
     line_dedup,
     minhash_dedup,
     mixing,
@@ -56,11 +58,17 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items that documents contain."""
+    return decontamination.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def op4_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words the mix takes of each document."""
-    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
-    out = mixing.mix(docs)
+    docs = table(spark, folder, "documents").select("doc_id", "source", mixing.word_count().alias("words"))
+    out = mixing.mix(docs, F.col("words"))
     return out.select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
     )
@@ -89,6 +97,12 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 query(op7_line_dedup, line_dedup.SQL.format(docs="documents"))
 
 
+@query
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """License notices in lines, paragraphs and whole texts."""
+    return license_scan.scan(table(spark, folder, "documents"))
+
+
 @query
 def op9_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes outside every repeated 200-byte string."""
