@@ -10,6 +10,10 @@ Equal sets are one class before any key is made. In a bucket not all pairs are c
 many as decide which members are connected: a pivot takes its links, members that are connected
 by then need no more comparison, and the rest gets new pivots, twice as many in each round.
 Buckets of few members compare all pairs that are not connected yet.
+
+Before full sets are fetched, an odd sketch rules pairs out: one bit for each of ODD_BITS parts of the
+hash range, set if the set has an odd number of members in it. The bits in which two sketches
+differ are at most as many as the shingles that only one document has, so no link is lost.
 """
 
 from __future__ import annotations
@@ -26,6 +30,8 @@ from . import common as c
 SIDE = 10
 PART = 2
 SMALL_BUCKET = 8
+ODD_BITS = 512
+ODD = [f"o{i}" for i in range(ODD_BITS // 64)]
 
 SEEDS = c.mix(np.arange(2 * SIDE * PART, dtype=np.uint64), 11)
 FACTORS = c.mix(np.arange(2 * SIDE * PART, dtype=np.uint64), 12) | np.uint64(1)
@@ -61,20 +67,35 @@ def signatures(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return node, keys
 
 
+def odd_sketches(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Parity of the number of members in each part of the hash range, as 64-bit words."""
+    n = len(offsets) - 1
+    out = np.zeros((n, len(ODD)), np.uint64)
+    part = (c.mix(values, 9) >> np.uint64(64 - ODD_BITS.bit_length() + 1)).astype(np.int64)
+    for a in range(0, n, 1024):
+        b = min(n, a + 1024)
+        row = np.repeat(np.arange(b - a), np.diff(offsets[a : b + 1]))
+        counts = np.bincount(row * ODD_BITS + part[offsets[a] : offsets[b]], minlength=(b - a) * ODD_BITS)
+        out[a:b] = np.packbits((counts & 1).astype(np.uint8)).view(np.uint64).reshape(b - a, -1)
+    return out
+
+
 def _sign(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, rows, data, offsets in c.slices(batch, "text"):
                 values, ends = shingles(data, offsets, words)
                 node, keys = signatures(values, ends)
+                odd = c.signed(odd_sketches(values, ends))
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(batch.column(k).slice(at, rows) for k in ("doc_id", "did", "th")),
                         pa.array(np.diff(ends)),
                         pa.array(c.signed(node)),
                         c.list_array(c.signed(keys.reshape(-1)), np.arange(rows + 1) * 2 * SIDE),
+                        *(pa.array(np.ascontiguousarray(odd[:, i])) for i in range(len(ODD))),
                     ],
-                    names=["doc_id", "did", "th", "n", "node", "keys"],
+                    names=["doc_id", "did", "th", "n", "node", "keys", *ODD],
                 )
 
     return run
@@ -136,8 +157,13 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _similar_size(percent: int, a: str = "na", b: str = "nb"):
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+def _may_link(percent: int, a: str, b: str):
+    """Whether sizes and odd sketches of the structs ``a`` and ``b`` allow a link."""
+    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
+    apart = sum((F.bit_count(F.col(f"{a}.{o}").bitwiseXOR(F.col(f"{b}.{o}"))) for o in ODD), F.lit(0))
+    return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (
+        apart * (100 + percent) <= (na + nb) * (100 - percent)
+    )
 
 
 def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -153,27 +179,28 @@ def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _connect(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(node, label) for the nodes of all buckets; ``members`` has ``key, node, n``."""
+    """(node, label) for the nodes of all buckets; ``members`` has ``key, node, n`` and the sketch."""
+    own = F.struct("node", "n", *ODD)
     # First each node against the least node of most of its buckets.
-    hubs = members.groupBy("key").agg(F.min(F.struct("node", "n")).alias("hub"))
+    hubs = members.groupBy("key").agg(F.min(own).alias("p"))
     first = (
-        members.join(hubs, "key")
-        .filter("node <> hub.node")
-        .filter(_similar_size(percent, "n", "hub.n"))
-        .groupBy("node", F.col("hub.node").alias("a"))
+        members.select("key", own.alias("m"))
+        .join(hubs, "key")
+        .filter("m.node <> p.node")
+        .filter(_may_link(percent, "m", "p"))
+        .groupBy(F.col("m.node").alias("b"), F.col("p.node").alias("a"))
         .count()
-        .groupBy(F.col("node").alias("b"))
+        .groupBy("b")
         .agg(F.max(F.struct("count", "a")).alias("best"))
-        .select("best.a", "b")
+        .select(F.least("best.a", "b").alias("a"), F.greatest("best.a", "b").alias("b"))
     )
     tested = [c.store(first)]
-    links = c.store(_confirm(tested[0], sets, percent))
     labels = c.store(members.select("node", F.col("node").alias("label")).distinct())
-    labels = _relabel(labels, links)
+    labels = _relabel(labels, _confirm(tested[0], sets, percent))
     pivots = 2
     while True:
         live = members.join(labels, "node")
-        size = (
+        size = c.store(
             live.groupBy("key")
             .agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
             .filter("low <> high")
@@ -186,24 +213,25 @@ def _connect(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         )
         if live.isEmpty():
             return labels
-        ends = live.filter("pivot").select(
-            "key", F.col("node").alias("p"), F.col("n").alias("np"), F.col("label").alias("lp")
-        )
+        sides = live.select("key", F.struct("node", "n", "label", *ODD).alias("m"), "pivot")
+        ends = sides.filter("pivot").select("key", F.col("m").alias("p"))
         pairs = (
-            ends.join(live, "key")
-            .filter("p <> node and lp <> label")
-            .filter(_similar_size(percent, "n", "np"))
-            .select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b"))
+            ends.join(
+                sides,
+                (ends["key"] == sides["key"])
+                & F.expr("p.node <> m.node and p.label <> m.label")
+                & _may_link(percent, "m", "p"),
+            )
+            .select(F.least("p.node", "m.node").alias("a"), F.greatest("p.node", "m.node").alias("b"))
             .distinct()
         )
         for old in tested:
-            old = old.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
             pairs = pairs.join(old, ["a", "b"], "left_anti")
         pairs = c.store(pairs)
         tested.append(pairs)
         labels = _relabel(labels, _confirm(pairs, sets, percent))
         # A pivot was compared with its whole bucket, or is connected to what it skipped.
-        members = live.filter("not pivot").select("key", "node", "n")
+        members = live.filter("not pivot").select("key", "node", "n", *ODD)
         pivots *= 2
 
 
@@ -220,7 +248,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *c.row_key())
     signed = c.store(
-        rows.mapInArrow(_sign(words), "doc_id long, did long, th long, n long, node long, keys array<long>")
+        rows.mapInArrow(
+            _sign(words),
+            "doc_id long, did long, th long, n long, node long, keys array<long>, " + ", ".join(f"{o} long" for o in ODD),
+        )
     )
     classes = c.store(
         signed.filter("n > 0")
@@ -229,6 +260,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
             F.min("doc_id").alias("least"),
             F.min(F.struct("did", "th", "n")).alias("rep"),
             F.first("keys").alias("keys"),
+            *(F.first(o).alias(o) for o in ODD),
         )
     )
     table = F.sequence(F.lit(0), F.lit(SIDE * SIDE - 1))
@@ -240,9 +272,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
             F.get("keys", (F.lit(SIDE) + t % SIDE).cast("int")),
         ),
     )
-    entries = classes.select("node", F.col("rep.n").alias("n"), F.explode(keys).alias("key"))
-    shared = entries.groupBy("key").count().filter("count > 1").select("key")
-    members = c.store(entries.join(shared, "key"))
+    entries = classes.select("node", F.explode(keys).alias("key"))
+    shared = c.store(entries.groupBy("key").count().filter("count > 1").select("key"))
+    members = entries.join(shared, "key")
+    members = c.store(members.join(classes.select("node", F.col("rep.n").alias("n"), *ODD), "node"))
     wanted = members.select("node").distinct().join(classes, "node").select("node", "rep.did", "rep.th")
     sets = c.store(
         rows.join(wanted, ["did", "th"]).select("node", "text").mapInArrow(_sets(words), "node long, items array<long>")
