@@ -94,40 +94,23 @@ def preprocess(text: Column | str, **options) -> Column:
     return F.array_join(preprocess_tokens(text, **options), " ")
 
 
-def lemmatise_with_table(
-    df: DataFrame, tokens: str, lemma_table: DataFrame, *, id_col: str, max_map_rows: int = 100_000
-) -> DataFrame:
-    """Lemmatise array column ``tokens`` from a (token, lemma) table.
+def lemmatise_with_table(df: DataFrame, tokens: str, lemma_table: DataFrame) -> DataFrame:
+    """Lemmatise array column ``tokens`` from a (token, lemma) table of any size.
 
-    A table of at most ``max_map_rows`` rows becomes one broadcast map; a larger one is joined
-    token by token and the lists are rebuilt per row, which a single text bounds.
+    Tokens are joined one by one and the lists rebuilt per row, which a single text bounds; rows need
+    no key of their own. Of several lemmas of a token the smallest counts. Null lists stay null.
     """
-    table = lemma_table.dropDuplicates(["token"])
-    if table.limit(max_map_rows + 1).count() <= max_map_rows:
-        as_map = table.agg(
-            F.map_from_entries(F.collect_list(F.struct("token", "lemma"))).alias("_lemmas")
-        )
-        return (
-            df.withColumn("_lemmas", as_map.scalar())
-            .withColumn(tokens, lemmatise(tokens, F.col("_lemmas")))
-            .drop("_lemmas")
-        )
-    rebuilt = (
-        df.select(id_col, F.posexplode(tokens).alias("_pos", "token"))
-        .join(table, "token", "left")
-        .groupBy(id_col)
-        .agg(
-            F.array_sort(
-                F.collect_list(F.struct("_pos", F.coalesce("lemma", "token").alias("_t")))
-            ).alias("_l")
-        )
-        .select(id_col, F.col("_l._t").alias("_new"))
-    )
-    return (
-        df.join(rebuilt, id_col, "left")
-        .withColumn(tokens, F.coalesce("_new", tokens))
-        .drop("_new")
+    table = lemma_table.filter("token is not null").groupBy("token").agg(F.min("lemma").alias("_lemma"))
+    keyed = df.select(F.struct(*df.columns).alias("_row"), F.monotonically_increasing_id().alias("_id"))
+    each = keyed.select("_row", "_id", F.posexplode_outer(F.col(f"_row.{tokens}")).alias("_pos", "token"))
+    joined = each.join(table, "token", "left")
+    word = F.struct("_pos", F.coalesce("_lemma", "token").alias("t"))
+    lists = joined.groupBy("_id").agg(
+        F.first("_row").alias("_row"),
+        F.array_sort(F.collect_list(F.when(F.col("_pos").isNotNull(), word))).alias("_l"),
     )
+    new = F.when(F.col(f"_row.{tokens}").isNotNull(), F.col("_l.t")).alias(tokens)
+    return lists.select(*[new if c == tokens else F.col(f"_row.{c}") for c in df.columns])
 
 
 def ngrams(tokens: Column | str, low: int = 1, high: int = 2) -> Column:

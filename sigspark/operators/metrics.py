@@ -21,16 +21,15 @@ def _no_nan(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
-def spearman(
-    df: DataFrame, a: str, b: str, buckets: int | None = None, small_rows: int | None = None
-) -> DataFrame:
-    """One row ``spearman_corr``: Pearson correlation of the average ranks.
+def spearman(df: DataFrame, a: str, b: str, buckets: int | None = None) -> DataFrame:
+    """One row ``spearman_corr``: Pearson correlation of the average ranks of the complete pairs.
 
     Ranks have mean (n + 1) / 2 by construction, so the sums are taken around it.
     """
+    df = df.select(a, b).na.drop()
     pairs = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("_c"))
-    rank_a = average_ranks(df, a, (), buckets, small_rows).select(a, F.col("avg_rank").alias("_ra"))
-    rank_b = average_ranks(df, b, (), buckets, small_rows).select(b, F.col("avg_rank").alias("_rb"))
+    rank_a = average_ranks(df, a, (), buckets).select(a, F.col("avg_rank").alias("_ra"))
+    rank_b = average_ranks(df, b, (), buckets).select(b, F.col("avg_rank").alias("_rb"))
     mean = df.agg((F.count(F.lit(1)) + 1) / 2).scalar()
     x, y = F.col("_ra") - F.col("_mean"), F.col("_rb") - F.col("_mean")
     sums = (
@@ -53,7 +52,6 @@ def signal_eval(
     score: str,
     target: str,
     buckets: int | None = None,
-    small_rows: int | None = None,
 ) -> DataFrame:
     """One row: n, Pearson, Spearman, directional accuracy, mean absolute difference.
 
@@ -68,7 +66,7 @@ def signal_eval(
         F.avg(up.cast("double")).alias("directional_accuracy"),
         F.avg(F.abs(F.col(target) - F.col(score))).alias("mae"),
     )
-    ranked = spearman(data, score, target, buckets, small_rows)
+    ranked = spearman(data, score, target, buckets)
     return plain.withColumn("spearman_corr", ranked.scalar()).select(
         "n", "pearson_corr", "spearman_corr", "directional_accuracy", "mae"
     )
@@ -97,6 +95,13 @@ def regression_metrics(
 # --- classification ---------------------------------------------------------------------------
 
 
+def within(column: str, classes: Sequence[int]) -> Column:
+    """The class number; one outside ``classes`` is an error. Null stays null."""
+    c = F.col(column).cast("int")
+    wrong = F.concat(F.lit(f"{column} outside the classes: "), c.cast("string"))
+    return F.when(c.isNull() | c.isin(*[int(k) for k in classes]), c).otherwise(F.raise_error(wrong).cast("int"))
+
+
 def confusion(
     df: DataFrame,
     label: str = "label",
@@ -106,10 +111,12 @@ def confusion(
 ) -> DataFrame:
     """(groups, label, prediction, n) over the whole class grid, zeros included.
 
-    Rows are counted first; the grid is built from the counts. ``classes`` fixes the classes,
-    otherwise those seen as label or prediction are used.
+    Rows are counted first; the grid is built from the counts. ``classes`` fixes the classes, and a
+    label or prediction outside them is an error; otherwise those seen as either are used.
     """
     groups = list(groups)
+    if classes is not None:
+        df = df.withColumns({c: within(c, classes) for c in (label, predicted)})
     counts = (
         df.groupBy(*groups, F.col(label).cast("int").alias("label"),
                    F.col(predicted).cast("int").alias("prediction"))
@@ -226,24 +233,25 @@ def roc_auc_ovr(
     classes: int,
     groups: Sequence[str] = (),
     buckets: int | None = None,
-    small_rows: int | None = None,
 ) -> DataFrame:
     """(groups, class, auc): one-vs-rest area under the ROC curve from average ranks.
 
     Scores are reduced to a (class, score) histogram before they are ranked. A class without
-    positives or without negatives gets null.
+    positives or without negatives gets null. A list of another length than ``classes`` is an error.
     """
     groups = list(groups)
-    each = df.select(
-        *groups, F.col(label).cast("int").alias("_y"), F.posexplode(proba).alias("class", "_s")
-    ).filter(F.col("class") < classes)
+    wrong = F.concat(F.lit(f"expected {classes} probabilities, got "), F.size(proba).cast("string"))
+    checked = F.when(F.size(proba) == classes, F.col(proba)).otherwise(
+        F.raise_error(wrong).cast(df.schema[proba].dataType)
+    )
+    each = df.filter(F.col(proba).isNotNull()).select(
+        *groups, F.col(label).cast("int").alias("_y"), F.posexplode(checked).alias("class", "_s")
+    )
     keys = [*groups, "class"]
     counts = each.groupBy(*keys, F.col("_s").cast("double").alias("_s")).agg(
         F.count(F.lit(1)).alias("_n"), F.count_if(F.col("_y") == F.col("class")).alias("_p")
     )
-    cut = bucket_by_value(
-        counts, "_s", buckets, counted=df, copies=classes, small_rows=small_rows
-    )
+    cut = bucket_by_value(counts, "_s", buckets)
     ranked = prefix_sums(cut, ["_s"], F.col("_n"), keys)
     rank = F.col("before") + (F.col("_n") + 1) / 2
     sums = ranked.groupBy(*keys).agg(
@@ -306,7 +314,7 @@ def evaluation_records(
     """(groups, metrics): one record per group in the layout of a result document.
 
     One aggregate by cell, then one row per group with its k * k cells; the rest is arithmetic on
-    that row. Groups whose probabilities are all null get no AUC.
+    that row. Groups whose probabilities are all null get no AUC; a class without a name is an error.
     """
     k = len(class_names)
     keys = list(groups) or ["_all"]
@@ -314,7 +322,7 @@ def evaluation_records(
         predictions = predictions.withColumn("_all", F.lit(0))
     each = F.sequence(F.lit(0), F.lit(k - 1))
     zero = F.lit(0).cast("long")
-    y, p = F.col(label).cast("int"), F.col(predicted).cast("int")
+    y, p = within(label, range(k)), within(predicted, range(k))
     cells = (
         predictions.groupBy(*keys, (y * k + p).alias("_cell"))
         .agg(F.count(F.lit(1)).alias("_n"))

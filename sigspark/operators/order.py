@@ -2,13 +2,14 @@
 
 Everything here is one idea: cut the order into buckets that follow it, count rows per bucket,
 turn those few counts into offsets, and number rows inside each bucket. No window spans a whole
-group, so one group holding most of the data is still spread over all buckets. Inputs that were
-counted and found small skip the buckets and use one plain window.
+group, so one group holding most of the data is still spread over all buckets. There is one plan
+for every size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isfinite
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
@@ -17,38 +18,24 @@ from pyspark.sql.window import Window
 
 BUCKET = "_bucket"
 
-# Rows one task may sort without buckets.
-SMALL_ROWS = 1_000_000
-
 
 def default_buckets(df: DataFrame) -> int:
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def bucket_by_value(
-    df: DataFrame,
-    column: str,
-    buckets: int | None = None,
-    *,
-    counted: DataFrame | None = None,
-    copies: int = 1,
-    small_rows: int | None = None,
-) -> DataFrame:
+def bucket_by_value(df: DataFrame, column: str, buckets: int | None = None) -> DataFrame:
     """Add ``_bucket``, non-decreasing in numeric ``column``, with about equal row counts.
 
-    Nothing is added when ``counted`` (``df`` itself, or a cheaper frame each row of which gives at
-    most ``copies`` rows of ``df``) has no more than ``small_rows`` rows. The boundaries come from one approximate-quantile pass and are then literals, so every use of
-    the result agrees on them, also when a lost partition is computed again.
+    The boundaries come from one approximate-quantile pass and are then literals, so every use of
+    the result agrees on them, also when a lost partition is computed again. Infinite values are in
+    the first and the last bucket.
     """
-    limit = SMALL_ROWS if small_rows is None else small_rows
-    if (df if counted is None else counted).count() * copies <= limit:
-        return df
     buckets = buckets or default_buckets(df)
     probabilities = [i / buckets for i in range(1, buckets)]
     cuts = df.select(F.col(column).cast("double").alias("_v")).approxQuantile(
         "_v", probabilities, 0.25 / buckets
     )
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    splits = [float("-inf"), *sorted({c for c in cuts if isfinite(c)}), float("inf")]
     if len(splits) == 2:
         return df.withColumn(BUCKET, F.lit(0))
     cutter = Bucketizer(splits=splits, inputCol="_cut", outputCol=BUCKET, handleInvalid="keep")
@@ -56,9 +43,9 @@ def bucket_by_value(
     return cut.withColumn(BUCKET, F.col(BUCKET).cast("int"))
 
 
-def bucket_by_hash(df: DataFrame, digest: str, bits: int = 12) -> DataFrame:
-    """Add ``_bucket`` from the leading bits of a non-negative 60-bit hash column."""
-    return df.withColumn(BUCKET, F.shiftright(F.col(digest), 60 - bits))
+def hash_bits(df: DataFrame) -> int:
+    """Leading bits of a hash that make about sixteen buckets for each shuffle partition."""
+    return max(12, (16 * default_buckets(df)).bit_length())
 
 
 def prefix_sums(
@@ -70,18 +57,10 @@ def prefix_sums(
 ) -> DataFrame:
     """Sum of ``weight`` over all rows of the same group that sort before the row.
 
-    ``df`` carries ``_bucket`` following ``order``, unless it is known to be small; rows of a group
-    must differ in ``order`` and group columns must not be null.
+    ``df`` carries ``_bucket`` following ``order``; rows of a group must differ in ``order`` and
+    group columns must not be null.
     """
     groups = list(groups)
-    if BUCKET not in df.columns:
-        before = (
-            Window.partitionBy(*(groups or [F.lit(0)]))
-            .orderBy(*order)
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        total = F.sum(F.lit(weight) if isinstance(weight, int) else weight)
-        return df.withColumn(out, F.coalesce(total.over(before), F.lit(0)))
     weighted = df.withColumn("_w", F.lit(weight) if isinstance(weight, int) else weight)
     ahead = Window.partitionBy(*(groups or [F.lit(0)])).orderBy(BUCKET)
     offsets = (
@@ -122,11 +101,10 @@ def average_ranks(
     column: str,
     groups: Sequence[str] = (),
     buckets: int | None = None,
-    small_rows: int | None = None,
 ) -> DataFrame:
     """(groups, value, n, avg_rank): 1-based rank of each distinct value, ties averaged."""
     counts = value_counts(df, column, groups)
-    cut = bucket_by_value(counts, column, buckets, counted=df, small_rows=small_rows)
+    cut = bucket_by_value(counts, column, buckets)
     return prefix_sums(cut, [column], F.col("n"), groups).select(
         *groups, column, "n", (F.col("before") + (F.col("n") + 1) / 2).alias("avg_rank")
     )
@@ -156,12 +134,11 @@ def group_quantiles(
     column: str,
     probabilities: dict[str, float],
     buckets: int | None = None,
-    small_rows: int | None = None,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles per group, safe for groups of any size."""
     groups = list(groups)
     counts = value_counts(df, column, groups)
-    cut = bucket_by_value(counts, column, buckets, counted=df, small_rows=small_rows)
+    cut = bucket_by_value(counts, column, buckets)
     ranked = prefix_sums(cut, [column], F.col("n"), groups)
     sizes = counts.groupBy(*groups).agg(F.sum("n").alias("_size"))
     placed = ranked.join(sizes, groups) if groups else ranked.withColumn("_size", sizes.scalar())
@@ -184,54 +161,17 @@ def group_quantiles(
         *groups,
         *[
             (
-                F.col(f"_{name}_low")
-                + (F.col(f"_{name}_high") - F.col(f"_{name}_low")) * F.col(f"_{name}_part")
+                F.col(f"_{name}_low") * (1 - F.col(f"_{name}_part"))
+                + F.col(f"_{name}_high") * F.col(f"_{name}_part")
             ).alias(name)
             for name in probabilities
         ],
     )
 
 
-def has_large_group(df: DataFrame, groups: Sequence[str], max_group_rows: int) -> bool:
-    """Whether a group holds more than ``max_group_rows`` rows.
-
-    The plain row count comes first: on a Parquet scan it reads footers only.
-    """
-    if df.count() <= max_group_rows:
-        return False
-    sizes = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_rows"))
-    return not sizes.filter(F.col("_rows") > max_group_rows).isEmpty()
-
-
-def group_median(
-    df: DataFrame,
-    groups: Sequence[str],
-    column: str,
-    out: str,
-    max_group_rows: int = 5_000_000,
-) -> DataFrame:
-    """Exact median per group, whatever the group sizes.
-
-    The built-in median keeps a group's values in one task. Groups above ``max_group_rows`` take
-    the bucketed way instead; there are at most total / max_group_rows of them, which bounds the
-    broadcast list, and AQE drops that branch when the list is empty.
-    """
-    groups = list(groups)
-    present = df.select(*groups, column)
-    large = (
-        present.groupBy(*groups)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > max_group_rows)
-        .select(*groups)
-    )
-    marker = F.broadcast(large)
-    small = present.join(marker, groups, "left_anti").groupBy(*groups).agg(
-        F.median(column).alias(out)
-    )
-    big = group_quantiles(
-        present.join(marker, groups, "left_semi"), groups, column, {out: 0.5}, small_rows=0
-    )
-    return small.unionByName(big)
+def group_median(df: DataFrame, groups: Sequence[str], column: str, out: str) -> DataFrame:
+    """Exact median per group, whatever the group sizes: values are counted, then found by position."""
+    return group_quantiles(df.select(*groups, column), groups, column, {out: 0.5})
 
 
 # --- splits -----------------------------------------------------------------------------------
@@ -250,7 +190,7 @@ def _shuffled_index(df: DataFrame, label: str, id_column: str, seed: int) -> Dat
     return row_index(
         keyed,
         ["_key", id_column],
-        F.shiftright("_key", 60 - 12),
+        F.shiftright("_key", 60 - hash_bits(df)),
         groups=[label],
         out="_place",
     ).drop("_key")

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .order import row_index
+
 from ..functions import lexicons as lx
 from ..functions import text as tx
 
@@ -189,10 +191,8 @@ def distinct_sorted(df: DataFrame, column: str) -> DataFrame:
 def encode_labels(df: DataFrame, label: str, out: str = "label_id") -> DataFrame:
     """Text labels to 0-based positions in their sorted distinct list.
 
-    The numbering window runs over the distinct labels only.
-    """
+    The distinct labels are numbered in buckets of their first two bytes, so that no task sorts them
+    all."""
     classes = df.select(label).filter(F.col(label).isNotNull()).distinct()
-    numbered = classes.withColumn(
-        out, F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(label)) - 1
-    )
-    return df.join(numbered, label, "left")
+    lead = F.rpad(F.hex(F.substring(F.encode(F.col(label).cast("string"), "utf-8"), 1, 2)), 4, "0")
+    return df.join(row_index(classes, [label], F.conv(lead, 16, 10).cast("int"), out=out), label, "left")

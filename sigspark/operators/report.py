@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -102,7 +104,7 @@ def _table(models: DataFrame, grid: DataFrame, *names: str, text: bool) -> DataF
         "precision": metric_with_fallback("precision"),
         "recall": metric_with_fallback("recall"),
     }
-    joined = F.broadcast(grid).join(models, "subset", "left")
+    joined = grid.join(models, "subset", "left")
     return joined.select(
         "subset",
         "place",
@@ -212,18 +214,18 @@ def metric_series(
     )
 
 
-def coefficient_rows(
-    spark: SparkSession, coefficients, names: Sequence[str], classes: Sequence[str]
-) -> DataFrame:
-    """(class, feature, coef) from a fitted k x p coefficient matrix, whose size the vocabulary
-    bounds; an index without a name becomes ``feature_<i>``."""
-    matrix = coefficients.toArray() if hasattr(coefficients, "toArray") else coefficients
-    rows = [
-        (classes[i], names[j] if j < len(names) else f"feature_{j}", float(value))
-        for i, row in enumerate(matrix)
-        for j, value in enumerate(row)
-    ]
-    return spark.createDataFrame(rows, "class string, feature string, coef double")
+def coefficient_rows(coefficients, names: DataFrame, classes: Sequence[str]) -> DataFrame:
+    """(class, feature, coef) from a fitted k x p coefficient matrix, which the model holds anyway,
+    and names (pos, feature); an index without a name becomes ``feature_<i>``."""
+    spark = names.sparkSession
+    matrix = coefficients.toArray() if hasattr(coefficients, "toArray") else np.asarray(coefficients)
+    k, p = matrix.shape
+    flat = pd.DataFrame({"row": np.repeat(np.arange(k), p), "pos": np.tile(np.arange(p), k), "coef": matrix.reshape(-1)})
+    rows = spark.createDataFrame(flat, "row long, pos long, coef double")
+    label = F.get(F.array(*[F.lit(c) for c in classes]), F.col("row").cast("int"))
+    named = rows.join(names.select("pos", "feature"), "pos", "left")
+    unnamed = F.concat(F.lit("feature_"), F.col("pos").cast("string"))
+    return named.select(label.alias("class"), F.coalesce("feature", unnamed).alias("feature"), "coef")
 
 
 def top_coefficients(rows: DataFrame, k: int = 10, group: str = "class") -> DataFrame:

@@ -8,8 +8,9 @@ from pyspark.sql.window import Window, WindowSpec
 
 from ..functions.sentiment import volume_weighted
 from .asof import asof_join
-from .order import group_median, has_large_group
+from .order import group_median
 
+# Column names of the daily tables.
 PRICE_FEATURES = (
     "daily_return",
     "lag_return_1",
@@ -79,7 +80,7 @@ def price_features(prices: DataFrame) -> DataFrame:
     )
 
 
-def daily_aggregate(articles: DataFrame, *, max_group_rows: int = 5_000_000) -> DataFrame:
+def daily_aggregate(articles: DataFrame) -> DataFrame:
     """One row per ticker and publication day: exact median, sample deviation (0 for one
     article), largest absolute score, and row count."""
     keys = ["ticker", "published_date"]
@@ -91,11 +92,8 @@ def daily_aggregate(articles: DataFrame, *, max_group_rows: int = 5_000_000) ->
         F.max(F.abs("sentiment_score")).alias("max_abs_sentiment"),
         F.count(F.lit(1)).alias("article_count"),
     ]
-    if not has_large_group(dated, keys, max_group_rows):
-        daily = dated.groupBy(*keys).agg(F.median("sentiment_score").alias("sentiment_score"), *spread)
-    else:
-        middle = group_median(dated, keys, "sentiment_score", "sentiment_score", max_group_rows)
-        daily = dated.groupBy(*keys).agg(*spread).join(middle, keys, "left")
+    middle = group_median(dated.filter("ticker is not null and published_date is not null"), keys, "sentiment_score", "sentiment_score")
+    daily = dated.groupBy(*keys).agg(*spread).join(middle, keys, "left")
     return daily.select(
         *keys, "sentiment_score", "sentiment_std", "max_abs_sentiment", "article_count"
     )
@@ -209,7 +207,10 @@ def attach_forward_returns(
     ).drop("ticker")
     return (
         out.withColumn("_first", span.select("_first").scalar())
-        .withColumn("_day", F.greatest("published_date", "_first"))
+        .withColumn(
+            "_day",
+            F.when(F.col("published_date") < F.col("_first"), F.col("_first")).otherwise(F.col("published_date")),
+        )
         .join(F.broadcast(market), "_day", "left")
         .withColumn("excess_return", F.col("next_day_return") - F.col("benchmark_return"))
         .drop("_day", "_first")

@@ -8,6 +8,7 @@ from . import (
     model_queries,
     report_queries,
     signal_queries,
+    source_queries,
     text_queries,
 )
 from .registry import ORACLES, QUERIES
@@ -18,6 +19,7 @@ MODULES = (
     metric_queries,
     ingest_queries,
     report_queries,
+    source_queries,
     model_queries,
 )
 

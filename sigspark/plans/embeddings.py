@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections.abc import Callable, Iterator, Sequence
 
@@ -17,6 +18,10 @@ from ..sources.corpus import path_exists
 Encoder = Callable[[Sequence[str], "int | None"], np.ndarray]
 
 
+# One for each call of embed, kept by a worker process for its later tasks.
+_ENCODERS: dict[str, Encoder] = {}
+
+
 def embed(
     text: Column | str,
     encoder_factory: Callable[[], Encoder],
@@ -24,12 +29,15 @@ def embed(
     batch_size: int = 32,
     max_length: int | None = None,
 ) -> Column:
-    """Embedding of each text. The factory runs once per task, on the executor; only the text
-    column goes to Python, in Arrow batches. ``max_length`` is handed to the encoder."""
+    """Embedding of each text. The factory runs once per worker process, on the executor; only the
+    text column goes to Python, in Arrow batches. ``max_length`` is handed to the encoder."""
+    name = uuid.uuid4().hex
 
     @F.pandas_udf("array<float>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = encoder_factory()
+        if name not in _ENCODERS:
+            _ENCODERS[name] = encoder_factory()
+        encode = _ENCODERS[name]
         for texts in batches:
             values = texts.fillna("").tolist()
             parts = [

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as lx
-from ..sources.corpus import spread
 
 TICKERS = 5
 
@@ -26,8 +25,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
-    scan = table(spark, folder, "documents").select("doc_id", "text", *extra)
-    return spread(scan, "doc_id")
+    return table(spark, folder, "documents").select("doc_id", "text", *extra)
 
 
 def phrase(id_column: str):
@@ -71,16 +69,22 @@ def _mean_price():
     return F.sum(cents) / (F.count(F.lit(1)) * F.lit(100.0))
 
 
+def trading_day(ts: str):
+    """The day itself, or the Monday after a weekend day."""
+    day = F.to_date(ts)
+    return F.date_add(day, F.when(F.weekday(day) >= 5, 7 - F.weekday(day)).otherwise(0))
+
+
 def prices(spark: SparkSession, folder: str) -> DataFrame:
-    """(ticker, date, adjusted_close) on weekdays, from order totals."""
+    """(ticker, date, adjusted_close) on weekdays, from order totals; a weekend's orders count on the
+    Monday after it."""
     return (
         table(spark, folder, "orders")
         .select(
             F.concat(F.lit("T"), F.pmod("o_custkey", F.lit(TICKERS)).cast("string")).alias("ticker"),
-            F.to_date("o_orderdate").alias("date"),
+            trading_day("o_orderdate").alias("date"),
             "o_totalprice",
         )
-        .filter(F.weekday("date") < 5)
         .groupBy("ticker", "date")
         .agg(_mean_price().alias("adjusted_close"))
     )
@@ -90,8 +94,7 @@ def benchmark(spark: SparkSession, folder: str) -> DataFrame:
     """(date, adjusted_close) over all customers."""
     return (
         table(spark, folder, "orders")
-        .select(F.to_date("o_orderdate").alias("date"), "o_totalprice")
-        .filter(F.weekday("date") < 5)
+        .select(trading_day("o_orderdate").alias("date"), "o_totalprice")
         .groupBy("date")
         .agg(_mean_price().alias("adjusted_close"))
     )
@@ -200,9 +203,13 @@ def vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def probabilities(spark: SparkSession, folder: str) -> DataFrame:
-    """(vec_id, proba): the first three embedding components, made positive and normalised."""
-    parts = [F.abs(F.get("embedding", F.lit(i)).cast("double")) for i in range(3)]
-    total = parts[0] + parts[1] + parts[2]
-    return vectors(spark, folder).select(
-        "vec_id", F.array(*[p / total for p in parts]).alias("proba")
-    )
+    """(vec_id, proba): every embedding component adds to one of three classes in turn; the sums of
+    absolute values are normalised."""
+
+    def part(k: int):
+        own = F.filter("embedding", lambda x, i: i % 3 == k)
+        return F.aggregate(own, F.lit(0.0), lambda a, x: a + F.abs(x.cast("double")))
+
+    sums = vectors(spark, folder).select("vec_id", *[part(k).alias(f"p{k}") for k in range(3)])
+    total = F.col("p0") + F.col("p1") + F.col("p2")
+    return sums.select("vec_id", F.array(*[F.col(f"p{k}") / total for k in range(3)]).alias("proba"))

@@ -18,9 +18,9 @@ from . import inputs, models, signal_study, text_study
 from .registry import query, rounded
 from .text_queries import STOP_WORDS
 
-# The registered runs use short grids, few rounds and a 500-term vocabulary; the defaults of the
-# functions they call are the full ones. All rows and whole texts are used.
-TEXT = text_study.TextOptions(stop_words=STOP_WORDS, max_features=500)
+# The registered runs use short grids and few rounds; the defaults of the functions they call are the
+# full ones. All rows, whole texts and all terms are used.
+TEXT = text_study.TextOptions(stop_words=STOP_WORDS)
 ROUNDS = 10
 
 
@@ -80,7 +80,7 @@ def score_text(spark, folder):
         F.concat_ws("-", F.lit("c"), "conv_id", "turn").alias("text_id"), "text"
     )
     scored = text_study.score_texts(
-        documents.unionByName(turns), vectors, model, lx.LABEL_NAMES, TEXT
+        documents.unionByName(turns), vectors, model, lx.LABEL_NAMES, TEXT, id_column="text_id"
     )
     return se.add_sentiment_score(scored, "proba", lx.LABEL_NAMES).select(
         "text_id", "predicted_label", rounded("sentiment_score").alias("sentiment_score")
@@ -91,9 +91,7 @@ def score_text(spark, folder):
 def lr_top_terms(spark, folder):
     train, _, vectors = _prepared(spark, folder)
     model = models.BalancedLogistic(max_iter=ROUNDS).fit(train)
-    rows = rp.coefficient_rows(
-        spark, models.coefficient_matrix(model), feature_names(vectors), lx.LABEL_NAMES
-    )
+    rows = rp.coefficient_rows(models.coefficient_matrix(model), feature_names(vectors), lx.LABEL_NAMES)
     return rp.top_coefficients(rows)
 
 

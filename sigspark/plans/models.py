@@ -29,7 +29,6 @@ from ..operators import order as od
 from ..operators import signal
 
 SEED = 42
-ROWS_PER_TASK = 10_000
 
 
 class MacroF1(Evaluator):
@@ -133,8 +132,6 @@ class _OneVsRest(Estimator):
                     (F.col("_c") == c).cast("double").alias("_y"),
                     F.when(F.col("_c") == c, own).otherwise(1.0).alias("_weight"),
                 )
-                # Each iteration is a job: few rows are not worth many tasks. Large inputs keep theirs.
-                target = target.coalesce(n // ROWS_PER_TASK + 1)
                 return self._binary(own * sizes[c] + n - sizes[c]).fit(target)
 
             with ThreadPoolExecutor(min(k, 8)) as pool:
@@ -319,6 +316,7 @@ def _features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 MIN_ROWS = 10
+DIRECTION_SCHEMA = "fold int, n_train long, n_test long, accuracy double, f1 double"
 
 
 def direction_folds(
@@ -332,10 +330,10 @@ def direction_folds(
     depth: int = 4,
     rate: float = 0.05,
     seed: int = SEED,
-) -> DataFrame | None:
+) -> DataFrame:
     """Accuracy and F1 per expanding time fold of a classifier of the sign of the target.
 
-    None below ten rows. Features the dataset lacks are left out. The positive class is weighted
+    No rows below ten rows of input. Features the dataset lacks are left out. The positive class is weighted
     by the ratio in the training part of the fold. The folds are fitted side by side.
     """
     columns = signal.present_columns(dataset, [score, *signal.CLASSIFIER_FEATURES])
@@ -346,7 +344,7 @@ def direction_folds(
     rows = rows.persist()
     try:
         if rows.count() < MIN_ROWS:
-            return None
+            return dataset.sparkSession.createDataFrame([], DIRECTION_SCHEMA)
         # The leading order column is the coarse one: a day holds one row per ticker, and a ticker
         # one row per day.
         folded = od.time_folds(rows, list(order), order[0], splits=splits).persist()
@@ -360,9 +358,7 @@ def direction_folds(
             folded.unpersist()
     finally:
         rows.unpersist()
-    return dataset.sparkSession.createDataFrame(
-        results, "fold int, n_train long, n_test long, accuracy double, f1 double"
-    )
+    return dataset.sparkSession.createDataFrame(results, DIRECTION_SCHEMA)
 
 
 def _one_fold(rows: DataFrame, fold: int, trees: int, depth: int, rate: float, seed: int):

@@ -47,6 +47,11 @@ def sql_list(values) -> str:
 
 
 TOKEN = sql_text(lx.TOKEN)
+# A weekend day counts as the Monday after it.
+TRADING = (
+    "(CAST(o_orderdate AS DATE) + CASE WHEN isodow(o_orderdate) > 5 "
+    "THEN CAST(8 - isodow(o_orderdate) AS INTEGER) ELSE 0 END)"
+)
 
 CTES: dict[str, tuple[str, str]] = {
     "texts": (
@@ -69,15 +74,15 @@ CTES: dict[str, tuple[str, str]] = {
     ),
     "prices": (
         "",
-        "SELECT 'T' || (o_custkey % 5) AS ticker, CAST(o_orderdate AS DATE) AS date, "
+        f"SELECT 'T' || (o_custkey % 5) AS ticker, {TRADING} AS date, "
         "sum(CAST(round(o_totalprice * 100) AS BIGINT)) / (count(*) * 100.0::DOUBLE) AS adjusted_close FROM orders "
-        "WHERE isodow(o_orderdate) < 6 GROUP BY 1, 2",
+        "GROUP BY 1, 2",
     ),
     "bench": (
         "",
-        "SELECT CAST(o_orderdate AS DATE) AS date, "
+        f"SELECT {TRADING} AS date, "
         "sum(CAST(round(o_totalprice * 100) AS BIGINT)) / (count(*) * 100.0::DOUBLE) AS adjusted_close "
-        "FROM orders WHERE isodow(o_orderdate) < 6 GROUP BY 1",
+        "FROM orders GROUP BY 1",
     ),
     "daily": (
         "articles",

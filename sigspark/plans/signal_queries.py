@@ -46,20 +46,6 @@ def daily_aggregate(spark, folder):
     )
 
 
-@query(
-    "daily_aggregate_large_groups",
-    f"SELECT ticker, {DAY}, {_r(DAILY)}, article_count FROM daily",
-    needs="daily",
-)
-def daily_aggregate_large_groups(spark, folder):
-    """The same result with the median of every day above three articles taken in buckets."""
-    daily = signal.daily_aggregate(inputs.articles(spark, folder), max_group_rows=3)
-    return daily.select(
-        "ticker", day_text("published_date").alias("published_date"),
-        *[rounded(c).alias(c) for c in DAILY], "article_count",
-    )
-
-
 @query(
     "daily_features",
     f"SELECT ticker, {DAY}, CAST(day_of_week AS BIGINT) AS day_of_week, article_count, {_r(DAILY + ROLLING)} FROM dfeat",
@@ -274,7 +260,10 @@ def daily_dataset(spark, folder):
 @query(
     "expected_sentiment",
     "SELECT vec_id, round((c - a) / (a + b + c), 6) + 0.0 AS sentiment_score FROM (SELECT vec_id, "
-    "abs(embedding[1]::DOUBLE) AS a, abs(embedding[2]::DOUBLE) AS b, abs(embedding[3]::DOUBLE) AS c FROM embeddings)",
+    + ", ".join(
+        f"list_sum([abs(x::DOUBLE) FOR x, i IN embedding IF (i - 1) % 3 = {k}]) AS {n}" for k, n in enumerate("abc")
+    )
+    + " FROM embeddings)",
 )
 def expected_sentiment(spark, folder):
     out = se.add_sentiment_score(

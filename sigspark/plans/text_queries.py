@@ -99,14 +99,32 @@ def lemmatise(spark, folder):
     )
 
 
+@query(
+    "lemmatise_table",
+    "SELECT doc_id, array_to_string([CASE w WHEN 'sales' THEN 'sale' WHEN 'units' THEN 'unit' "
+    f"WHEN 'fell' THEN 'fall' ELSE w END FOR w IN {KEPT}], ' ') AS clean FROM "
+    "(SELECT doc_id, text FROM texts UNION ALL SELECT doc_id, text FROM texts WHERE doc_id % 3 = 0)",
+    needs="texts",
+)
+def lemmatise_table(spark, folder):
+    """A table with repeated tokens, over texts whose ids repeat."""
+    pairs = [("sales", "sale"), ("units", "unit"), ("units", "units"), ("fell", "fall"), ("fell", "fell")]
+    table = spark.createDataFrame(pairs, "token string, lemma string")
+    texts = inputs.texts(spark, folder)
+    twice = texts.unionByName(texts.filter(F.col("doc_id") % 3 == 0))
+    tokens = twice.select("doc_id", tx.preprocess_tokens("text", stop_words=STOP_WORDS).alias("t"))
+    out = tx.lemmatise_with_table(tokens, "t", table)
+    return out.select("doc_id", F.array_join("t", " ").alias("clean"))
+
+
 @query(
     "ngrams",
     f"SELECT doc_id, array_to_string(list_concat(t, [t[i] || ' ' || t[i + 1] FOR i IN "
-    f"range(1, len(t))]), '|') AS grams FROM (SELECT doc_id, {KEPT} AS t FROM labelled)",
-    needs="labelled",
+    f"range(1, len(t))]), '|') AS grams FROM (SELECT doc_id, {KEPT} AS t FROM texts)",
+    needs="texts",
 )
 def ngrams(spark, folder):
-    t = inputs.labelled(spark, folder).select(
+    t = inputs.texts(spark, folder).select(
         "doc_id", tx.preprocess_tokens("text", stop_words=STOP_WORDS).alias("t")
     )
     return t.select("doc_id", F.array_join(tx.ngrams("t", 1, 2), "|").alias("grams"))
@@ -328,9 +346,9 @@ def conversation_lengths(spark, folder):
 
 TERMS = (
     "grams AS (SELECT doc_id, unnest(list_concat(t, [t[i] || ' ' || t[i + 1] FOR i IN range(1, len(t))])) "
-    f"AS term FROM (SELECT doc_id, {KEPT} AS t FROM labelled)), "
+    f"AS term FROM (SELECT doc_id, {KEPT} AS t FROM texts)), "
     "tf AS (SELECT doc_id, term, count(*) AS tf FROM grams GROUP BY 1, 2), "
-    "docs AS (SELECT count(*) AS nd FROM labelled), "
+    "docs AS (SELECT count(*) AS nd FROM texts), "
     "idf AS (SELECT term, count(*) AS df, sum(tf) AS total_tf, "
     "ln((1 + any_value(nd)) / (1.0 + count(*))) + 1 AS idf FROM tf, docs GROUP BY term)"
 )
@@ -341,13 +359,13 @@ LONG = (
 
 
 def _grams(spark, folder):
-    tokens = inputs.labelled(spark, folder).select(
-        "doc_id", "label", tx.preprocess_tokens("text", stop_words=STOP_WORDS).alias("t")
+    tokens = inputs.texts(spark, folder).select(
+        "doc_id", tx.preprocess_tokens("text", stop_words=STOP_WORDS).alias("t")
     )
-    return tokens.select("doc_id", "label", tx.ngrams("t", 1, 2).alias("grams"))
+    return tokens.select("doc_id", tx.ngrams("t", 1, 2).alias("grams"))
 
 
-@query("tfidf_long", LONG, needs="labelled")
+@query("tfidf_long", LONG, needs="texts")
 def tfidf_long(spark, folder):
     return ti.tfidf_long(_grams(spark, folder), "doc_id", "grams").withColumn(
         "tfidf", rounded("tfidf")
@@ -357,7 +375,7 @@ def tfidf_long(spark, folder):
 @query(
     "idf_table",
     f"WITH {TERMS} SELECT term, df, round(idf, 6) AS idf FROM idf",
-    needs="labelled",
+    needs="texts",
 )
 def idf_table(spark, folder):
     grams = _grams(spark, folder)
@@ -369,7 +387,7 @@ def idf_table(spark, folder):
     "vocabulary_topk",
     f"WITH {TERMS} SELECT term, df, CAST(total_tf AS BIGINT) AS total_tf FROM idf "
     "ORDER BY total_tf DESC, term LIMIT 500",
-    needs="labelled",
+    needs="texts",
 )
 def vocabulary_topk(spark, folder):
     return ti.vocabulary(
@@ -381,20 +399,11 @@ def vocabulary_topk(spark, folder):
     "tfidf_vectors",
     f"WITH {TERMS}, w AS (SELECT doc_id, term, tf * idf AS w FROM tf JOIN idf USING (term)) "
     "SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS tfidf FROM w",
-    needs="labelled",
+    needs="texts",
 )
 def tfidf_vectors(spark, folder):
     """The vector form, unfolded to rows again; it has to equal the long form."""
-    from pyspark.ml.functions import vector_to_array
-
     grams = _grams(spark, folder)
-    model = ti.TfidfVectors("grams", "tfidf").fit(grams)
-    names = spark.createDataFrame(
-        list(enumerate(model.stages[0].vocabulary)), "pos int, term string"
-    )
-    entries = (
-        model.transform(grams)
-        .select("doc_id", F.posexplode(vector_to_array("tfidf")).alias("pos", "tfidf"))
-        .filter(F.col("tfidf") != 0)
-    )
-    return entries.join(names, "pos").select("doc_id", "term", rounded("tfidf").alias("tfidf"))
+    model = ti.TfidfVectors("grams", "tfidf", id_column="doc_id").fit(grams)
+    entries = ti.vector_entries(model.transform(grams), "doc_id", "tfidf")
+    return entries.join(model.vocabulary, "pos").select("doc_id", "term", rounded("value").alias("tfidf"))

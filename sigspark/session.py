@@ -12,8 +12,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # Exact medians: keep hashing small groups instead of sorting after the default 128 of them.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

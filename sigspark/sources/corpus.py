@@ -32,17 +32,6 @@ def read_tickers(spark: SparkSession, path: str) -> DataFrame:
     return tickers
 
 
-def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread a scan that has fewer splits than there are cores.
-
-    A few files that cannot be split would leave most cores idle in the text work that follows;
-    scans with enough splits, as large ones have, are returned as they are. Pass a plain scan:
-    counting its splits starts no job.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, *keys)
-
-
 SPLIT_KEYS = ("subset", "seed", "test_size")
 
 

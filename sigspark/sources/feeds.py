@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .. import schemas
 
@@ -13,18 +14,20 @@ from .. import schemas
 def read_headline_feed(
     spark: SparkSession, paths: str | Sequence[str], *, lines: bool = False
 ) -> DataFrame:
-    """Headline rows of ``{items, feed: [...]}`` documents, with their position.
+    """Headline rows of ``{items, feed: [...]}`` documents, with ``origin`` and ``pos``.
 
-    A document file is one record to Spark, so it is read by one task. Land large feeds as JSON
-    lines, one article per line, and pass ``lines=True``: those files are split freely.
+    Rows arrived in the order of ``(origin, pos)``: the file's name, which sorts by fetch window, and
+    the place in the file. A document file is one record to Spark, so it is read by one task and its
+    places are counted. Land large feeds as JSON lines, one article and its ``pos`` per line, and pass
+    ``lines=True``: those files are split freely, so a place has to be part of the line.
     """
+    origin = F.col("_metadata.file_name").alias("origin")
     if lines:
-        return spark.read.schema(schemas.HEADLINE).json(paths).withColumn(
-            "pos", F.monotonically_increasing_id()
-        )
+        schema = StructType([StructField("pos", LongType(), True), *schemas.HEADLINE.fields])
+        return spark.read.schema(schema).json(paths).select(origin, "*")
     documents = spark.read.schema(schemas.HEADLINE_FEED).option("multiLine", True).json(paths)
-    return documents.select(F.posexplode("feed").alias("pos", "_a")).select(
-        F.col("pos").cast("long").alias("pos"), "_a.*"
+    return documents.select(origin, F.posexplode("feed").alias("pos", "_a")).select(
+        "origin", F.col("pos").cast("long").alias("pos"), "_a.*"
     )
 
 

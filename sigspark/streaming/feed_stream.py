@@ -37,17 +37,19 @@ def _day() -> Column:
 
 
 def _written_before(spark: SparkSession, output: str, batch_id: int, days: list[str]) -> DataFrame | None:
-    """Keys other batches wrote for these days; partition pruning keeps other days unread."""
-    if not path_exists(spark, output):
+    """Keys other batches wrote for these days; only the folders of the days are listed."""
+    folders = [f"{output}/day={d}" for d in days]
+    folders = [f for f in folders if path_exists(spark, f)]
+    if not folders:
         return None
-    columns = [*HEADLINE_KEY, "batch_id", "day"]
     schema = StructType([StructField(k, StringType(), True) for k in HEADLINE_KEY])
-    schema = schema.add("batch_id", "long").add("day", "string")
+    schema = schema.add("day", "string").add("batch_id", "long")
     return (
         spark.read.schema(schema)
-        .parquet(output)
-        .select(*columns)
-        .filter((F.col("batch_id") != batch_id) & F.col("day").isin(days))
+        .option("basePath", output)
+        .parquet(*folders)
+        .select(*HEADLINE_KEY, "batch_id", "day")
+        .filter(F.col("batch_id") != batch_id)
     )
 
 
@@ -59,31 +61,43 @@ def write_batch(
     terms: Mapping[str, Sequence[str]] | DataFrame,
     order: Sequence[str],
 ) -> None:
-    """One micro-batch: quarantine error payloads, filter, keep first, append unseen keys."""
+    """One micro-batch: quarantine error payloads, filter, keep first, append unseen keys.
+
+    The table is laid out by day, then batch; a replayed batch replaces its own folders only."""
     spark = batch.sparkSession
+    batch = batch.persist()
     is_error = F.coalesce(*[F.col(k) for k in schemas.ERROR_KEYS]).isNotNull()
     batch.filter(is_error).write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
 
     rows = filter_feed(batch.filter(~is_error).drop(*schemas.ERROR_KEYS), terms)
     fresh = keep_first(rows, HEADLINE_KEY, order).withColumns(
-        {"ticker": F.upper("ticker"), "day": _day()}
-    )
-    # One entry per calendar day in the batch.
-    days = [r["day"] for r in fresh.select("day").distinct().collect()]
-    seen = _written_before(spark, output, batch_id, days) if days else None
-    if seen is not None:
-        def key(df: DataFrame, side: str) -> DataFrame:
-            return df.select("*", *[
-                F.coalesce(F.col(k), F.lit("")).alias(f"_{side}{i}") for i, k in enumerate(HEADLINE_KEY)
-            ])
-
-        left, right = key(fresh, "l"), key(seen, "r").select("_r0", "_r1")
-        fresh = left.join(
-            right, (F.col("_l0") == F.col("_r0")) & (F.col("_l1") == F.col("_r1")), "left_anti"
-        ).drop("_l0", "_l1")
-    (
-        fresh.write.mode("overwrite").partitionBy("day").parquet(f"{output}/batch_id={batch_id}")
+        {"ticker": F.upper("ticker"), "day": _day(), "batch_id": F.lit(batch_id).cast("long")}
     )
+    fresh = fresh.persist()
+    try:
+        # One entry per calendar day in the batch.
+        days = [r["day"] for r in fresh.select("day").distinct().collect()]
+        seen = _written_before(spark, output, batch_id, days)
+        new = fresh
+        if seen is not None:
+            def key(df: DataFrame, side: str) -> DataFrame:
+                return df.select("*", *[
+                    F.coalesce(F.col(k), F.lit("")).alias(f"_{side}{i}") for i, k in enumerate(HEADLINE_KEY)
+                ])
+
+            left, right = key(fresh, "l"), key(seen, "r").select("_r0", "_r1")
+            new = left.join(
+                right, (F.col("_l0") == F.col("_r0")) & (F.col("_l1") == F.col("_r1")), "left_anti"
+            ).drop("_l0", "_l1")
+        (
+            new.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("day", "batch_id")
+            .parquet(output)
+        )
+    finally:
+        fresh.unpersist()
+        batch.unpersist()
 
 
 def ingest_feed(
@@ -115,7 +129,7 @@ def ingest_feed(
 
 def read_ingested(spark: SparkSession, output: str) -> DataFrame:
     schema = StructType([StructField("pos", LANDED["pos"].dataType, True), *schemas.HEADLINE.fields])
-    return spark.read.schema(schema.add("batch_id", "long").add("day", "string")).parquet(output)
+    return spark.read.schema(schema.add("day", "string").add("batch_id", "long")).parquet(output)
 
 
 def dedupe_stream(

@@ -15,26 +15,24 @@ def ranks(values):
     }
 
 
-@pytest.mark.parametrize("small", [None, 0])
-def test_average_ranks(spark, small):
+def test_average_ranks(spark):
     rng = random.Random(3)
     # One value holds a third of all rows.
     values = [rng.choice([0.0, 0.0, float(rng.randrange(30))]) for _ in range(300)]
     df = spark.createDataFrame([(v, "gh"[i % 2]) for i, v in enumerate(values)] + [(None, "g")],
                                "v double, g string")
-    got = {r["v"]: r["avg_rank"] for r in od.average_ranks(df, "v", buckets=5, small_rows=small).collect()}
+    got = {r["v"]: r["avg_rank"] for r in od.average_ranks(df, "v", buckets=5).collect()}
     assert got == ranks(values)
-    per = od.average_ranks(df, "v", ["g"], buckets=5, small_rows=small).collect()
+    per = od.average_ranks(df, "v", ["g"], buckets=5).collect()
     for g in "gh":
         mine = [v for i, v in enumerate(values) if "gh"[i % 2] == g]
         assert {r["v"]: r["avg_rank"] for r in per if r["g"] == g} == ranks(mine)
 
 
-@pytest.mark.parametrize("small", [None, 0])
-def test_group_quantiles(spark, small):
+def test_group_quantiles(spark):
     rows = [("a", float(i)) for i in range(10)] + [("b", 5.0)] * 3 + [("a", None)]
     df = spark.createDataFrame(rows, "g string, v double")
-    out = od.group_quantiles(df, ["g"], "v", {"p50": 0.5, "p90": 0.9}, 3, small)
+    out = od.group_quantiles(df, ["g"], "v", {"p50": 0.5, "p90": 0.9}, 3)
     got = {r["g"]: (r["p50"], round(r["p90"], 9)) for r in out.collect()}
     assert got == {"a": (4.5, 8.1), "b": (5.0, 5.0)}
 
@@ -83,8 +81,8 @@ def test_signal_eval(spark):
     df = spark.createDataFrame(
         [(1.0, 2.0), (2.0, 1.0), (-1.0, -3.0), (0.0, 0.0), (0.0, 1.0), (None, 1.0)], "s double, t double"
     )
-    for small in (None, 0):
-        r = me.signal_eval(df, "s", "t", 3, small).first()
+    for buckets in (None, 3):
+        r = me.signal_eval(df, "s", "t", buckets).first()
         assert r["n"] == 5 and r["directional_accuracy"] == 0.8 and r["mae"] == 1.0
         # Ranks 4, 5, 1, 2.5, 2.5 and 5, 3.5, 1, 2, 3.5.
         a, b = [4, 5, 1, 2.5, 2.5], [5, 3.5, 1, 2, 3.5]
@@ -144,8 +142,7 @@ def test_empty_classes(spark):
     assert scores[1]["precision"] == 0.0
 
 
-@pytest.mark.parametrize("small", [None, 0])
-def test_auc(spark, small):
+def test_auc(spark):
     rng = random.Random(11)
     rows = []
     for _ in range(120):
@@ -153,7 +150,7 @@ def test_auc(spark, small):
         p = [rng.randrange(1, 6) + (3 if i == y else 0) for i in range(3)]
         rows.append((y, [x / sum(p) for x in p]))
     df = spark.createDataFrame(rows, "label int, proba array<double>")
-    got = {r["class"]: r["auc"] for r in me.roc_auc_ovr(df, "label", "proba", 3, (), 4, small).collect()}
+    got = {r["class"]: r["auc"] for r in me.roc_auc_ovr(df, "label", "proba", 3, (), 4).collect()}
     for c in range(3):
         pos = [p[c] for y, p in rows if y == c]
         neg = [p[c] for y, p in rows if y != c]
@@ -169,3 +166,28 @@ def test_weights(spark):
     assert got == {0: 4 / 6, 1: 2.0}
     assert me.positive_weight(df).first()["positive_weight"] == 3.0
     assert me.positive_weight(df.filter("label = 0")).first()["positive_weight"] == 1.0
+
+
+def test_infinite_values_keep_their_rank(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(v,) for v in [-inf] * 5 + [1.0, 2.0, inf, inf]], "v double")
+    got = {r["v"]: r["avg_rank"] for r in od.average_ranks(df, "v", buckets=4).collect()}
+    assert got == {-inf: 3.0, 1.0: 6.0, 2.0: 7.0, inf: 8.5}
+
+
+def test_spearman_drops_incomplete_pairs(spark):
+    rows = [(1.0, 2.0), (2.0, 1.0), (3.0, 4.0), (4.0, 3.0), (None, 9.0), (0.5, None)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    assert abs(me.spearman(df, "a", "b").first()[0] - 0.6) < 1e-12
+
+
+def test_wrong_classes_and_lengths_are_errors(spark):
+    from pyspark.errors import PySparkException
+
+    df = spark.createDataFrame([(0, 1, [0.5, 0.5]), (1, 3, [0.2, 0.8])], "label int, prediction int, proba array<double>")
+    with pytest.raises(PySparkException, match="outside the classes"):
+        me.confusion(df, classes=[0, 1]).collect()
+    with pytest.raises(PySparkException, match="outside the classes"):
+        me.evaluation_records(df, ["a", "b"]).collect()
+    with pytest.raises(PySparkException, match="expected 3 probabilities"):
+        me.roc_auc_ovr(df, "label", "proba", 3).collect()

@@ -90,7 +90,8 @@ def test_compare(documents):
 
 
 def test_coefficients(spark):
-    rows = rp.coefficient_rows(spark, np.array([[3.0, -1.0, 2.0]]), ["x", "y"], ["c"])
+    names = spark.createDataFrame([(0, "x"), (1, "y")], "pos long, feature string")
+    rows = rp.coefficient_rows(np.array([[3.0, -1.0, 2.0]]), names, ["c"])
     top = rp.top_coefficients(rows, k=1).collect()
     assert {(r["side"], r["feature"]) for r in top} == {("positive", "x"), ("negative", "y")}
     assert rows.filter("feature = 'feature_2'").count() == 1
@@ -109,16 +110,22 @@ def test_profile_ties_and_names(spark):
     assert empty["n"] == 0 and empty["mean_words"] is None and empty["p50_words"] is None
 
 
-def test_tfidf_forms_agree(spark):
+def test_tfidf_forms_agree(spark, tmp_path):
     df = spark.createDataFrame(
         [(1, ["a", "b", "a"]), (2, ["b"]), (3, ["c", "b"]), (4, [])], "doc_id int, t array<string>"
     )
     long = {(r["doc_id"], r["term"]): r["tfidf"] for r in ti.tfidf_long(df, "doc_id", "t").collect()}
     model = ti.TfidfVectors("t", "v").fit(df)
-    names = model.stages[0].vocabulary
+    names = [r["term"] for r in model.vocabulary.orderBy("pos").collect()]
     for r in model.transform(df).collect():
         for term, value in zip(names, r["v"].toArray()):
             assert abs(long.get((r["doc_id"], term), 0.0) - value) < 1e-12
+    path = str(tmp_path / "vocabulary")
+    model.save(path)
+    again = ti.TfidfModel.load(spark, path)
+    assert {r["doc_id"]: r["v"] for r in again.transform(df).collect()} == {
+        r["doc_id"]: r["v"] for r in model.transform(df).collect()
+    }
     top = ti.vocabulary(ti.term_frequencies(df, "doc_id", "t"), 2).collect()
     assert {r["term"] for r in top} == {"a", "b"}
 
@@ -195,7 +202,9 @@ def test_text_study(spark, tmp_path):
     df = spark.createDataFrame(rows, "doc_id long, text string, label int")
     options = text_study.TextOptions(stop_words=["and"])
     parted = text_study.cached_split(df, str(tmp_path / "split"), "s", options)
-    assert text_study.cached_split(df.limit(1), str(tmp_path / "split"), "s", options).count() == 20
+    assert text_study.cached_split(df, str(tmp_path / "split"), "s", options).count() == 20
+    other = df.withColumn("text", F.upper("text")).filter("doc_id < 10")  # a changed corpus
+    assert text_study.cached_split(other, str(tmp_path / "split"), "s", options).count() == 10
     train, test, vectors = text_study.prepare(parted, options)
     model = models.BalancedLogistic(max_iter=20).fit(train)
     out = text_study.score_texts(df, vectors, model, ["down", "up"], options)
@@ -223,7 +232,7 @@ def test_return_models(spark):
     assert folds.count() == 2
     summary = models.classification_summary(folds).first()
     assert abs(summary["mean_accuracy"] - sum(summary["per_fold_accuracy"]) / 2) < 1e-12
-    assert models.direction_folds(dataset(spark, 9), "next_day_return") is None
+    assert models.direction_folds(dataset(spark, 9), "next_day_return").collect() == []
     metrics, predictions = models.return_regression(df, "next_day_return", trees=2)
     assert tuple(metrics.first())[:2] == (48, 12) and predictions.count() == 12
     with pytest.raises(ValueError, match="missing columns"):

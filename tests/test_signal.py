@@ -117,11 +117,10 @@ ARTICLES = [
 ]
 
 
-@pytest.mark.parametrize("limit", [5_000_000, 1])
-def test_daily_aggregate(spark, limit):
+def test_daily_aggregate(spark):
     articles = spark.createDataFrame(ARTICLES, "ticker string, t string, sentiment_score double")
     articles = articles.withColumn("published_time", F.col("t").cast("timestamp"))
-    rows = signal.daily_aggregate(articles, max_group_rows=limit).collect()
+    rows = signal.daily_aggregate(articles).collect()
     got = {(r["ticker"], r["published_date"]): r for r in rows}
     first = got["A", DAY0]
     assert (first["sentiment_score"], first["max_abs_sentiment"], first["article_count"]) == (0.1, 1.0, 3)

@@ -99,12 +99,12 @@ def test_lexicon_features(spark):
     assert tuple(rows[1]) == (0.0,) * 8
 
 
-def test_lemmatise_map_and_join_agree(spark):
-    df = spark.createDataFrame([(1, ["sales", "fell"]), (2, [])], "id int, t array<string>")
-    table = spark.createDataFrame([("sales", "sale"), ("x", "y")], "token string, lemma string")
-    for limit in (10, 0):
-        out = tx.lemmatise_with_table(df, "t", table, id_col="id", max_map_rows=limit)
-        assert {r["id"]: r["t"] for r in out.collect()} == {1: ["sale", "fell"], 2: []}
+def test_lemmatise_with_repeated_ids_and_tokens(spark):
+    rows = [(1, ["sales", "fell"]), (2, []), (1, ["b", "sales"]), (3, None)]
+    df = spark.createDataFrame(rows, "id int, t array<string>")
+    table = spark.createDataFrame([("sales", "sale"), ("sales", "vent"), ("x", "y"), (None, "z")], "token string, lemma string")
+    out = sorted((r["id"], r["t"] or []) for r in tx.lemmatise_with_table(df, "t", table).collect())
+    assert out == [(1, ["b", "sale"]), (1, ["sale", "fell"]), (2, []), (3, [])]
 
 
 def test_times(spark):
