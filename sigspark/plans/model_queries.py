@@ -11,7 +11,7 @@ from ..functions import lexicons as lx
 from ..functions import sentiment as se
 from ..operators import order as od
 from ..operators import report as rp
-from ..operators.tfidf import feature_names
+from ..operators.tfidf import TfidfModel, feature_names
 from ..session import checkpoint_folder
 from . import embeddings as em
 from . import inputs, models, signal_study, text_study
@@ -87,6 +87,31 @@ def score_text(spark, folder):
     )
 
 
+@query("saved_model_scores", "SELECT count(*) AS n, count_if(text IS NULL) AS different FROM documents")
+def saved_model_scores(spark, folder):
+    """Vectors and a model saved, loaded and applied: documents scored, and those scored differently."""
+    train, _, vectors = _prepared(spark, folder)
+    model = models.BalancedLogistic(max_iter=ROUNDS).fit(train)
+    path = f"{checkpoint_folder(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
+    vectors.save(f"{path}/vectors")
+    model.save(f"{path}/model")
+    documents = inputs.documents(spark, folder)
+    pairs = (
+        (vectors, model),
+        (TfidfModel.load(spark, f"{path}/vectors"), models.OneVsRestModel.load(spark, f"{path}/model")),
+    )
+    fresh, loaded = (
+        text_study.score_texts(documents, v, m, lx.LABEL_NAMES, TEXT).select("doc_id", "predicted_label", "proba")
+        for v, m in pairs
+    )
+    both = fresh.join(loaded.toDF("doc_id", "label2", "proba2"), "doc_id")
+    apart = F.exists(F.zip_with("proba", "proba2", lambda a, b: F.abs(a - b) > 1e-9), lambda x: x)
+    return both.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if((F.col("predicted_label") != F.col("label2")) | apart).alias("different"),
+    )
+
+
 @query("lr_top_terms")
 def lr_top_terms(spark, folder):
     train, _, vectors = _prepared(spark, folder)

@@ -21,7 +21,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.ml.util import DefaultParamsReader
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import metrics as me
@@ -98,6 +99,24 @@ class OneVsRestModel(Model):
         return out.drop("_margins", *raw)
 
 
+    def save(self, path: str) -> None:
+        """The binary models and, as one JSON row, what holds them together."""
+        for i, model in enumerate(self.models):
+            model.write().overwrite().save(f"{path}/model-{i}")
+        spark = SparkSession.active()
+        row = (len(self.models), [int(c) for c in self.classes], self.features, self.slope)
+        spark.createDataFrame([row], _ENSEMBLE).coalesce(1).write.mode("overwrite").json(f"{path}/ensemble")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> OneVsRestModel:
+        row = spark.read.schema(_ENSEMBLE).json(f"{path}/ensemble").first()
+        models = [DefaultParamsReader.loadParamsInstance(f"{path}/model-{i}", spark) for i in range(row["n"])]
+        return cls(models, row["classes"], row["features"], row["slope"])
+
+
+_ENSEMBLE = "n int, classes array<int>, features string, slope double"
+
+
 class _OneVsRest(Estimator):
     """Balanced one-vs-rest: the class's own rows weigh n / (k * n_class), all others 1."""
 
@@ -236,6 +255,13 @@ class ForestModel(Model):
         super().__init__()
         self.model = model
 
+    def save(self, path: str) -> None:
+        self.model.write().overwrite().save(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> ForestModel:
+        return cls(DefaultParamsReader.loadParamsInstance(path, spark))
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         return (
             self.model.setRawPredictionCol("")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import lexicons as lx
 from ..functions import sentiment as se
+from ..functions import text as tx
 from ..functions.times import parse_seen_time
 from ..operators import articles as ar
 from ..operators import signal
@@ -13,7 +15,7 @@ from ..operators.order import group_quantiles
 from ..sources.prices import normalise_prices, series_to_rows, slice_dates
 from ..schemas import PRICE_SERIES_FIELDS, PRICE_SERIES_KEY
 from . import inputs, signal_study
-from .registry import day_text, query, rounded
+from .registry import TOKEN, day_text, query, rounded, sql_list
 
 DAY = "strftime(published_date, '%Y-%m-%d') AS published_date"
 DAILY = ("sentiment_score", "sentiment_std", "max_abs_sentiment")
@@ -337,6 +339,48 @@ def news_to_articles(spark, folder):
     )
 
 
+SHIFT_DAYS = 9000
+NEWS_TICKERS = {"AAPL": "T0", "SHOP": "T1", "JNJ": "T2"}
+SCORED_DAYS = f"""WITH tok AS (SELECT CASE upper(ticker) WHEN 'AAPL' THEN 'T0' WHEN 'SHOP' THEN 'T1' ELSE 'T2' END AS ticker,
+CAST(coalesce(try_strptime(seendate, '%Y%m%d%H%M%S'), try_strptime(seendate, '%Y%m%dT%H%M%SZ')) AS DATE) - {SHIFT_DAYS} AS published_date,
+regexp_extract_all(lower(title || ' ' || ({sql_list(inputs.PHRASES)})[pos % 4 + 1]), {TOKEN}) AS tok FROM feed JOIN ("""
+SCORED_DAYS += FEED_FILTERED.format(where="seendate <> '' AND upper(ticker) IN ('AAPL', 'SHOP', 'JNJ')").replace(
+    "SELECT pos, upper(ticker) AS ticker, title", "SELECT pos"
+)
+SCORED_DAYS += f""") USING (pos)),
+scored_days AS (SELECT ticker, published_date, median(s) AS sentiment_score FROM (SELECT *,
+(len(list_intersect(list_distinct(tok), {sql_list(lx.POSITIVE)})) - len(list_intersect(list_distinct(tok), {sql_list(lx.NEGATIVE)})))
+/ greatest(len(tok), 1)::DOUBLE AS s FROM tok) GROUP BY 1, 2),
+scored_fwd AS (SELECT d.*, (p.exit - p.entry) / nullif(p.entry, 0) AS next_day_return FROM scored_days d
+ASOF LEFT JOIN paths p ON d.ticker = p.ticker AND d.published_date < p.date),
+excess AS (SELECT f.*, next_day_return - (b.exit - b.entry) / nullif(b.entry, 0) AS excess_return
+FROM scored_fwd f ASOF LEFT JOIN bpaths b ON f.published_date < b.date) """
+
+
+@query(
+    "feed_to_signal",
+    SCORED_DAYS + FLAGSHIP.format(digits=6, score="sentiment_score", where="true"),
+    needs="feed paths bpaths",
+)
+def feed_to_signal(spark, folder):
+    """From the headline feed to the evaluated signal: articles, lexicon scores, days, returns.
+
+    The feed is from 2024 and the prices end in 2001, so the articles are dated back."""
+    feed = inputs.headline_feed(spark, folder)
+    feed = feed.withColumn("title", F.concat_ws(" ", "title", inputs.phrase("pos")))
+    articles = tx.with_lexicon_features(ar.to_articles(feed, list(NEWS_TICKERS)))
+    balance = F.col("positive_kw_count") - F.col("negative_kw_count")
+    names = F.create_map(*[F.lit(x) for pair in NEWS_TICKERS.items() for x in pair])
+    scored = articles.select(
+        F.try_element_at(names, F.col("ticker")).alias("ticker"),
+        (F.col("published_time") - F.expr(f"INTERVAL {SHIFT_DAYS} DAYS")).alias("published_time"),
+        (balance / F.greatest("sentence_length", F.lit(1.0))).alias("sentiment_score"),
+    )
+    dataset = signal_study.daily_dataset(scored, inputs.prices(spark, folder), inputs.benchmark(spark, folder))
+    out = signal_study.evaluate(dataset)
+    return out.select("n", *[rounded(c).alias(c) for c in out.columns[1:]])
+
+
 @query(
     "normalise_prices",
     "SELECT upper('t' || (o_custkey % 5)) AS ticker, strftime(o_orderdate, '%Y-%m-%d') AS date, "
