@@ -8,7 +8,7 @@ at 0.8.
 
 Equal sets are one class before any key is made. In a bucket not all pairs are compared, only as
 many as decide which members are connected: a pivot takes its links, members that are connected
-by then need no more comparison, and the rest gets new pivots, twice as many in each round.
+by then need no more comparison, and the rest gets new pivots, GROWTH times as many in each round.
 Buckets of few members compare all pairs that are not connected yet.
 
 Before full sets are fetched, an odd sketch rules pairs out: one bit for each of ODD_BITS parts of the
@@ -29,7 +29,8 @@ from . import common as c
 
 SIDE = 10
 PART = 2
-SMALL_BUCKET = 8
+SMALL_BUCKET = 64
+PIVOTS, GROWTH = 16, 8
 ODD_BITS = 512
 ODD = [f"o{i}" for i in range(ODD_BITS // 64)]
 
@@ -197,7 +198,7 @@ def _connect(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     tested = [c.store(first)]
     labels = c.store(members.select("node", F.col("node").alias("label")).distinct())
     labels = _relabel(labels, _confirm(tested[0], sets, percent))
-    pivots = 2
+    pivots = PIVOTS
     while True:
         live = members.join(labels, "node")
         size = c.store(
@@ -232,7 +233,7 @@ def _connect(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         labels = _relabel(labels, _confirm(pairs, sets, percent))
         # A pivot was compared with its whole bucket, or is connected to what it skipped.
         members = live.filter("not pivot").select("key", "node", "n", *ODD)
-        pivots *= 2
+        pivots *= GROWTH
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:

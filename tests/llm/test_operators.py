@@ -171,6 +171,7 @@ def test_minhash_dedup(docs, rows, empty, words, percent):
 def test_minhash_pivots(spark, monkeypatch):
     """A group too large for all pairs at once: many near copies of one text."""
     monkeypatch.setattr(minhash_dedup, "SMALL_BUCKET", 2)
+    monkeypatch.setattr(minhash_dedup, "PIVOTS", 2)
     rng = random.Random(5)
     base = [f"v{rng.randrange(900)}" for _ in range(150)]
     made = []
