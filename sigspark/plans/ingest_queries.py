@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .. import schemas
 from ..operators import ingest as ig
@@ -197,7 +197,7 @@ def _scratch(spark, name: str) -> str:
 
 
 def _api_documents(spark, folder):
-    """One response per user: every seventh an error, every fifth without a feed."""
+    """One response per user and hour: those of every seventh user an error, of every fifth without a feed."""
     events = inputs.table(spark, folder, "events")
     article = F.struct(
         F.concat(F.lit("u"), F.col("event_type")).alias("url"),
@@ -205,10 +205,12 @@ def _api_documents(spark, folder):
         F.col("props").alias("title"),
         F.col("event_id").alias("id"),
     )
-    responses = events.groupBy("user_id").agg(F.array_sort(F.collect_list(article)).alias("feed"))
+    hour = F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd HH").alias("hour")
+    responses = events.groupBy("user_id", hour).agg(F.array_sort(F.collect_list(article)).alias("feed"))
     user = F.col("user_id")
     return responses.select(
         "user_id",
+        "hour",
         F.when(user % 5 != 0, F.transform("feed", lambda a: F.struct(
             a["url"].alias("url"), a["time_published"].alias("time_published"), a["title"].alias("title")
         ))).alias("feed"),
@@ -220,25 +222,26 @@ def _api_documents(spark, folder):
     )
 
 
-USER = StructField("user_id", LongType(), True)
+KEY = [StructField("user_id", LongType(), True), StructField("hour", StringType(), True)]
 
 
 def _landed_documents(spark, folder):
     """The responses after a trip through JSON lines on shared storage."""
     path = _scratch(spark, "responses")
     _api_documents(spark, folder).write.json(path)
-    return spark.read.schema(StructType([*schemas.API_FEED, USER])).json(path)
+    return spark.read.schema(StructType([*schemas.API_FEED, *KEY])).json(path)
 
 
 @query(
     "payload_gate",
-    "SELECT user_id, CASE WHEN user_id % 7 = 0 THEN 'Note: slow down' WHEN user_id % 5 = 0 THEN 'missing feed' "
-    "ELSE 'good' END AS reason FROM events GROUP BY user_id",
+    "SELECT user_id, strftime(date_trunc('hour', ts), '%Y-%m-%d %H') AS hour, CASE WHEN user_id % 7 = 0 "
+    "THEN 'Note: slow down' WHEN user_id % 5 = 0 THEN 'missing feed' ELSE 'good' END AS reason "
+    "FROM events GROUP BY ALL",
 )
 def payload_gate(spark, folder):
     good, bad = feeds.split_payloads(_landed_documents(spark, folder))
-    return good.select("user_id", F.lit("good").alias("reason")).unionByName(
-        bad.select("user_id", "reason")
+    return good.select("user_id", "hour", F.lit("good").alias("reason")).unionByName(
+        bad.select("user_id", "hour", "reason")
     )
 
 
