@@ -501,6 +501,32 @@ def test_license_scan(spark, empty):
     assert len(expected) >= 5 and license_scan.scan(empty).collect() == []
 
 
+def test_license_notices_inside_prose(spark):
+    full = dict(license_scan.TEMPLATES[-len(license_scan.TEXTS):])
+    long = license_scan.TEMPLATES[4][1]
+    prose = "The of a café, in the heart of the town and to the north of it, was subject to the terms of the council. "
+    texts = {
+        "This project is licensed under the MIT License.": ["MIT"],
+        "Copyright (c) 2020 Jane Doe. Released under the MIT License.": ["MIT"],
+        "Copyright 2020 Acme Press. Licensed under CC BY-NC 4.0.": ["CC-BY-NC-4.0"],
+        prose + "Licensed under CC BY 4.0, and the code is released under the MIT license. " + prose: ["CC-BY-4.0", "MIT"],
+        prose + "\n" + prose + "It is licensed\nunder the Apache License, Version 2.0. " + prose + "\n" + prose: ["Apache-2.0"],
+        prose + long + " " + prose: ["Apache-2.0"],
+        prose + full["MIT"].replace("\n", " ") + prose: ["MIT"],
+        "é " * 30 + full["BSD-2-Clause"].replace("\n", " ") + prose: ["BSD-2-Clause"],
+        prose + " ".join(full["GPL-3.0"].split()) + prose: ["GPL-3.0"],
+        prose + "Licensed under the Apache License, Version 9.7. " + prose: [],
+        prose + "Permission under the law of the land is granted, and the license is not. " + prose: [],
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [[] for _ in texts]
+    for r in sorted(license_scan.scan(docs).collect()):
+        part = list(texts)[r["doc_id"]][r["start"] : r["end"]]
+        assert (part == part.strip() or r["unit"] != "window") and r["dice"] >= license_scan.DICE
+        got[r["doc_id"]].append((r["start"], r["license"]))
+    assert [[x for _, x in sorted(g)] for g in got] == list(texts.values())
+
+
 def by_hand_units(text: str) -> list:
     lines, at = [], 0
     for line in text.split("\n"):
