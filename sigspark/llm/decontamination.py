@@ -4,8 +4,9 @@ Test items are cut into pieces of up to PIECE words, the units of the inverted i
 a piece's terms are its BM25 parts divided by their sum, so a score is the share of the piece's own
 score that a passage reaches, between 0 and 1. Every passage of every document (PASSAGE words, one
 every STRIDE) is a query; any PIECE words in a row lie whole in some passage. All pieces scoring at
-least THRESHOLD name an item, and the item counts if enough of the five-word shingles of its
-question and of its answer occur in the document.
+least THRESHOLD name an item. Its words that lie in runs of SHINGLE words of the document are counted,
+and by their BM25 weights, so an edit costs the words it touches; the item counts if enough of it, of
+its question or of its answer is there, or a long enough run.
 
 Most passages are ruled out for whole slices at once. The commonest terms of a piece, up to a share
 of COMMON, cannot lift it to the threshold, so the other, essential postings must reach what is
@@ -31,10 +32,12 @@ PASSAGE = 64
 STRIDE = 32
 THRESHOLD = 0.6
 COMMON = 0.3
-SHINGLE = 5
+SHINGLE = 3
 OVERLAP = 0.8
-PART_OVERLAP = 0.5
 ANSWER = 0.25  # share of an item's words, at its end, that is taken as the answer
+ALONE = 10  # words of a question or answer that counts without the other
+ALONE_OVERLAP = 0.9
+RUN = 80  # words in a row that count whatever the rest of the item
 K1, B = 1.2, 0.75
 BLOCK = 4
 SHARD_BYTES = 4 << 20
@@ -59,17 +62,18 @@ class Index:
     ess_largest: np.ndarray
     need: np.ndarray  # of each block
     item_of: np.ndarray  # item of each piece
-    shingles: list  # of each item: (question, answer) hashes
+    sides: list  # of each item: (shingle length, shingle hashes, weight of each word)
 
     @classmethod
     def build(cls, texts: list, idf, mean_length: float) -> Index:
         """``idf`` gives the weight of an array of term hashes."""
         data, offsets = c.text_bytes(pa.array(texts, pa.string()))
         hashes, first = c.plain_words(data, offsets)
-        rows, item_of, shingles, piece = [], [], [], 0
+        rows, item_of, sides, piece = [], [], [], 0
         for item in range(len(texts)):
             words = hashes[first[item] : first[item + 1]]
-            shingles.append(_question_and_answer(words))
+            n = max(1, min(SHINGLE, len(words)))
+            sides.append((n, c.Rolling(words).grams(n, 30), idf(words)))
             for a, b in _pieces(len(words)):
                 terms, tf = np.unique(words[a:b], return_counts=True)
                 length = K1 * (1 - B + B * (b - a) / mean_length)
@@ -97,7 +101,7 @@ class Index:
         return cls(
             terms, start, pieces, impact, *_maxima(number, pieces, impact, len(terms)),
             *_maxima(number[~common], pieces[~common], impact[~common], len(terms)), need,
-            np.array(item_of, np.int64), shingles,
+            np.array(item_of, np.int64), sides,
         )
 
     def lookup(self, hashes: np.ndarray) -> np.ndarray:
@@ -221,14 +225,6 @@ def _pieces(words: int) -> list[tuple[int, int]]:
     return list(zip(cuts[:-1], cuts[1:]))
 
 
-def _question_and_answer(words: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
-    """(shingle length, distinct shingles that begin in the question, and in the answer)."""
-    n = max(1, min(SHINGLE, len(words)))
-    grams = c.Rolling(words).grams(n, 30)
-    cut = len(grams) - int(len(grams) * ANSWER)
-    return n, np.unique(grams[:cut]), np.unique(grams[cut:])
-
-
 def passages(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end word of every passage; a document's last passage may be shorter."""
     counts = np.diff(first)
@@ -239,8 +235,25 @@ def passages(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.minimum(starts + PASSAGE, first[row + 1])
 
 
-def _share(part: np.ndarray, of: np.ndarray) -> float:
-    return float(np.isin(part, of, assume_unique=True).mean()) if len(part) else 1.0
+def _overlap(shingles: np.ndarray, weight: np.ndarray, n: int, of: np.ndarray) -> tuple[float, float, float, bool]:
+    """(share of the question, of the answer, of both, whether it counts) for an item and the shingles
+    of a document. A share is that of the words or of their weights, whichever is less."""
+    hit = np.isin(shingles, of)
+    there = np.zeros(len(weight), bool)
+    for i in range(n):
+        there[i : i + len(hit)] |= hit
+
+    def share(part: slice) -> float:
+        own, w = there[part], weight[part]
+        return float(min(own.mean(), w[own].sum() / w.sum())) if len(own) else 1.0
+
+    cut = len(weight) - int(len(weight) * ANSWER)
+    q, a, whole = share(slice(cut)), share(slice(cut, None)), share(slice(None))
+    gaps = np.flatnonzero(np.concatenate([[True], ~there, [True]]))
+    alone = any(
+        x >= ALONE_OVERLAP - 1e-12 and words >= ALONE for x, words in ((q, cut), (a, len(weight) - cut))
+    )
+    return q, a, whole, whole >= OVERLAP - 1e-12 or alone or int(np.diff(gaps).max()) > RUN
 
 
 def leaks(index: Index, batch: pa.RecordBatch) -> list[tuple]:
@@ -250,12 +263,11 @@ def leaks(index: Index, batch: pa.RecordBatch) -> list[tuple]:
         hashes, first = c.plain_words(data, offsets)
         sets: dict[tuple[int, int], np.ndarray] = {}
         for doc, item, score in index.candidates(hashes, first):
-            n, question, answer = index.shingles[item]
+            n, shingles, weight = index.sides[item]
             if (doc, n) not in sets:
                 sets[doc, n] = np.unique(c.Rolling(hashes[first[doc] : first[doc + 1]]).grams(n, 30))
-            q, a = _share(question, sets[doc, n]), _share(answer, sets[doc, n])
-            whole = _share(np.union1d(question, answer), sets[doc, n])
-            if whole >= OVERLAP - 1e-12 and min(q, a) >= PART_OVERLAP - 1e-12:
+            q, a, whole, counts = _overlap(shingles, weight, n, sets[doc, n])
+            if counts:
                 out.append((at + doc, item, score, q, a, whole))
     return out
 
@@ -344,9 +356,10 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id, score, question, answer, overlap): items that documents contain.
 
     ``score`` is the best passage's share of a piece's own BM25 score; the others are shares of the
-    five-word shingles (of all words, if an item has fewer) of the item's question, answer (its last
-    quarter) and whole that occur anywhere in the document. Words are runs of letters and digits,
-    A-Z folded. Every passage of every text is a query; one row for each pair of a row of ``docs``
+    words, or of their weights if that is less, of the item's question, answer (its last quarter) and
+    whole, in runs of three words (of all, if an item has fewer) that occur anywhere in the document.
+    An item counts with 0.8 of the whole, 0.9 of a question or an answer of ten words or more, or a run
+    of 80 words. Words are runs of letters and digits, A-Z folded. Every passage of every text is a query; one row for each pair of a row of ``docs``
     and a row of ``items``, so repeated rows are answered each. Null or empty texts and items match
     nothing; null ids stay null. Other columns are ignored; an empty table gives no rows. Items
     beyond one shard's size take one pass over the documents for each shard.

@@ -476,6 +476,41 @@ def test_decontamination(spark, empty, shard_bytes, monkeypatch):
     assert decontamination.decontaminate(empty, test_set).collect() == []
 
 
+def test_decontamination_of_edited_and_partial_copies(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(3000)] + ["the", "of", "and"] * 300
+    def words(n):
+        return [rng.choice(vocabulary) for _ in range(n)]
+
+    def edited(item, *places):
+        return [f"new{i}" if i in places else w for i, w in enumerate(item)]
+
+    items = [words(n) for n in (15, 30, 15, 300, 300, 40, 40, 60, 300, 12)]
+    items[9] = "what is the name of the capital city of w1 and w2".split()
+    parts = {
+        0: edited(items[0], 7),
+        1: edited(items[1], 8, 21),
+        2: edited(items[2], 13),
+        3: items[3][:237],
+        4: items[4][63:],
+        5: items[5][:30],
+        8: items[8][30:150],
+        # too little: half of an item, every second word changed, the same question of something else
+        6: items[6][10:30],
+        7: edited(items[7], *range(0, 60, 2)),
+        9: "what is the name of the capital city of w7 and w8".split(),
+    }
+    docs = [(k, " ".join(words(100) + part + words(100))) for k, part in parts.items()]
+    made = spark.createDataFrame(docs, "doc_id long, text string")
+    test_set = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    got = {r["doc_id"]: r for r in decontamination.find_leaks(made, test_set).collect()}
+    assert sorted(got) == [0, 1, 2, 3, 4, 5, 8] and all(r["item_id"] == k for k, r in got.items())
+    assert got[3]["question"] == got[5]["question"] == got[4]["answer"] == 1
+    assert got[5]["answer"] < 0.5 and got[4]["question"] < 0.9 and got[8]["overlap"] < 0.5
+    clean = decontamination.decontaminate(made, test_set)
+    assert sorted(r["doc_id"] for r in clean.collect()) == [6, 7, 9]
+
+
 def test_license_scan(spark, empty):
     notice = license_scan.TEMPLATES[4][1]
     texts = [
