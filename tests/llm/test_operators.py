@@ -295,6 +295,29 @@ def test_pii_added_kinds_and_context(spark):
     assert spans == {0: [("iban", "DE89 3704 0044 0532 0130 00")], 1: [], 2: [], 3: [("ssn", "123-45-6789")]}
 
 
+def test_pii_context_on_both_sides_and_account_lengths(spark):
+    many = [f"{123 + i}-45-6789" for i in range(30)]
+    gb, de = "GB29 NWBK 6016 1331 9268 19", "DE89370400440532013000"
+    texts = {
+        "SSN: 123-45-6789, 219-09-9999": ["123-45-6789", "219-09-9999"],
+        "123-45-6789 (social security number)": ["123-45-6789"],
+        "ssn 123-45-6789 or maybe 219-09-9999": ["123-45-6789", "219-09-9999"],
+        "Social security numbers:\n" + "\n".join(many): many,
+        "\n".join(many) + "\n(all lot numbers)": [],
+        "\n".join(many) + "\n(each a tax id)": many,
+        "ssn 123-45-6789" + " and then" * 20 + " 219-09-9999 of 321-54-9876": ["123-45-6789"],
+        f"IBAN {gb} BIC NWBKGB2L": [gb],
+        f"{de} 20 EUR, DE12 {gb} 2024": [de, gb],
+        "DE89 3704 0044 0532 0130 0 and " + gb + "9": [],
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.find(docs).collect():
+        text = list(texts)[r["doc_id"]]
+        added = [s for s in r["spans"] if not s["base"]]
+        assert [s["text"] for s in added] == texts[text]
+        assert all(text[s["start"] : s["end"]] == s["text"] for s in r["spans"])
+
+
 def test_mixing(spark, empty):
     rng = random.Random(4)
     rows = [(i, " ".join(["w"] * rng.choice([0, 1, 5, 40, 300])), rng.choice(["b", "a", "é", None])) for i in range(400)]
