@@ -16,12 +16,10 @@ from ..session import checkpoint_folder
 from . import embeddings as em
 from . import inputs, models, signal_study, text_study
 from .registry import query, rounded
-from .text_queries import STOP_WORDS
 
-# The registered runs use short grids and few rounds; the defaults of the functions they call are the
-# full ones. All rows, whole texts and all terms are used.
-TEXT = text_study.TextOptions(stop_words=STOP_WORDS)
-ROUNDS = 10
+# The registered runs use the defaults of the functions they call: full grids, rounds and folds, and the
+# default stop words. All rows, whole texts and all terms are used.
+TEXT = text_study.TextOptions()
 
 
 def _prepared(spark, folder):
@@ -31,8 +29,8 @@ def _prepared(spark, folder):
 
 def _search(spark, folder, spec):
     train, _, _ = _prepared(spark, folder)
-    folded = od.stratified_folds(train, "label", "doc_id", k=3).persist()
-    _, table = models.grid_search(folded, *spec, folds=3, parallelism=4)
+    folded = od.stratified_folds(train, "label", "doc_id").persist()
+    _, table = models.grid_search(folded, *spec, parallelism=4)
     folded.unpersist()
     return table.select(
         F.to_json("params").alias("params"), rounded("cv_macro_f1").alias("cv_macro_f1")
@@ -41,17 +39,17 @@ def _search(spark, folder, spec):
 
 @query("lr_grid")
 def lr_grid(spark, folder):
-    return _search(spark, folder, models.logistic_grid(c=(0.1, 10.0), penalties=("l2",), max_iter=ROUNDS))
+    return _search(spark, folder, models.logistic_grid())
 
 
 @query("svm_grid")
 def svm_grid(spark, folder):
-    return _search(spark, folder, models.svm_grid(c=(0.1, 10.0), max_iter=ROUNDS))
+    return _search(spark, folder, models.svm_grid())
 
 
 @query("rf_grid")
 def rf_grid(spark, folder):
-    return _search(spark, folder, models.forest_grid(trees=(ROUNDS,), depths=(3, 5)))
+    return _search(spark, folder, models.forest_grid())
 
 
 @query("text_model_run")
@@ -59,12 +57,10 @@ def text_model_run(spark, folder):
     """Two models searched, refitted and evaluated on the test part; one flat row each."""
     train, test, _ = _prepared(spark, folder)
     specs = {
-        "logistic_regression": models.logistic_grid(c=(1.0,), penalties=("l2",), max_iter=ROUNDS),
-        "linear_svm": models.svm_grid(c=(1.0,), max_iter=ROUNDS),
+        "logistic_regression": models.logistic_grid(),
+        "linear_svm": models.svm_grid(),
     }
-    document, _ = models.run_models(
-        train, test, specs, lx.LABEL_NAMES, dataset="documents", folds=2
-    )
+    document, _ = models.run_models(train, test, specs, lx.LABEL_NAMES, dataset="documents")
     return rp.flatten_results(document, "dataset")
 
 
@@ -72,7 +68,7 @@ def text_model_run(spark, folder):
 def score_text(spark, folder):
     """Train on the labelled texts, then score every document and conversation turn."""
     train, _, vectors = _prepared(spark, folder)
-    model = models.BalancedLogistic(max_iter=ROUNDS).fit(train)
+    model = models.BalancedLogistic().fit(train)
     documents = inputs.documents(spark, folder).select(
         F.concat(F.lit("d"), "doc_id").alias("text_id"), "text"
     )
@@ -91,7 +87,7 @@ def score_text(spark, folder):
 def saved_model_scores(spark, folder):
     """Vectors and a model saved, loaded and applied: documents scored, and those scored differently."""
     train, _, vectors = _prepared(spark, folder)
-    model = models.BalancedLogistic(max_iter=ROUNDS).fit(train)
+    model = models.BalancedLogistic().fit(train)
     path = f"{checkpoint_folder(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
     vectors.save(f"{path}/vectors")
     model.save(f"{path}/model")
@@ -115,7 +111,7 @@ def saved_model_scores(spark, folder):
 @query("lr_top_terms")
 def lr_top_terms(spark, folder):
     train, _, vectors = _prepared(spark, folder)
-    model = models.BalancedLogistic(max_iter=ROUNDS).fit(train)
+    model = models.BalancedLogistic().fit(train)
     rows = rp.coefficient_rows(models.coefficient_matrix(model), feature_names(vectors), lx.LABEL_NAMES)
     return rp.top_coefficients(rows)
 
@@ -134,15 +130,16 @@ def embed_cache(spark, folder):
 
 @query("boosted_vectors")
 def boosted_vectors(spark, folder):
-    """Boosted trees per label on the embedding table, evaluated on a stratified test part."""
+    """Boosted trees per label on the embedding table, the best of the grid; a stratified test part."""
     rows = inputs.vectors(spark, folder).select(
         "vec_id", "label",
         array_to_vector(F.transform("embedding", lambda x: x.cast("double"))).alias("features"),
     )
     parted = od.stratified_split(rows, "label", "vec_id").persist()
     train = parted.filter(F.col("part") == "train")
-    spec = models.boosted_grid(rates=(0.1,), depths=(3,), trees=(3,))
-    model = spec[0].fit(train, spec[1][0])
+    folded = od.stratified_folds(train, "label", "vec_id").persist()
+    model, _ = models.grid_search(folded, *models.boosted_grid(), parallelism=4)
+    folded.unpersist()
     scored = model.transform(parted.filter(F.col("part") == "test"))
     return scored.select(
         "vec_id", "label", F.col("prediction").cast("int").alias("prediction"),
@@ -159,10 +156,10 @@ def _dataset(spark, folder):
 
 @query("gbt_direction")
 def gbt_direction(spark, folder):
-    return models.direction_folds(_dataset(spark, folder), "excess_return", trees=5)
+    return models.direction_folds(_dataset(spark, folder), "excess_return")
 
 
 @query("gbt_return")
 def gbt_return(spark, folder):
-    metrics, _ = models.return_regression(_dataset(spark, folder), "excess_return", trees=5)
+    metrics, _ = models.return_regression(_dataset(spark, folder), "excess_return")
     return metrics
