@@ -410,6 +410,25 @@ def test_toxicity_learns_words_and_stems(spark):
     assert {r["doc_id"]: r["score"] for r in again} == {r["doc_id"]: r["score"] for r in got}
 
 
+def test_toxicity_scores_do_not_depend_on_the_neighbours():
+    keys = np.arange(1, 9, dtype=np.uint64)
+    net = toxicity._empty(toxicity.Settings(), keys)
+    rng = np.random.default_rng(2)
+    text, other = (rng.integers(1, 9, (n, toxicity.PARTS)).astype(np.int32) for n in (4, 6))
+    none = np.zeros((0, toxicity.PARTS), np.int32)
+    for text in (text, text[:1], none):
+        pooled = []
+        for batch in ([text], [text, other], [other, text], [other, text, other], [none, text], [text, none]):
+            first = np.append(0, np.cumsum([len(x) for x in batch]))
+            at = next(i for i, x in enumerate(batch) if x is text)
+            pooled.append(net.pooled(*net.padded(np.concatenate(batch), first))[at])
+        padded = np.concatenate([none, np.zeros((1, toxicity.PARTS), np.int32), text, np.zeros((2, toxicity.PARTS), np.int32)])
+        best = [net.responses(padded, net.tables()[w])[: len(text) + 1].max(0) for w in toxicity.WIDTHS]
+        expected = np.maximum(np.concatenate(best) + net.bias, 0)
+        for got in pooled:
+            np.testing.assert_allclose(got, expected, rtol=1e-6)
+
+
 def test_toxicity_without_two_classes(spark):
     docs = spark.createDataFrame([(1, "a b", "en"), (2, None, None)], "doc_id long, text string, lang string")
     marks = spark.createDataFrame([], "doc_id long, toxic int")
