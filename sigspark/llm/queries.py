@@ -12,11 +12,14 @@ from . import (
     decontamination,
     license_scan,
     line_dedup,
+    merkle,
     minhash_dedup,
     mixing,
     pii,
     run_length_dedup,
     substring_dedup,
+    token_files,
+    tokens,
     toxicity,
 )
 
@@ -128,3 +131,24 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(pii.notation(base), 256).alias("base_sha256"),
         pii.notation(F.col("spans")).alias("spans"),
     )
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document proved in the manifest; where 5 divides the id's crc32, with a changed text."""
+    docs = table(spark, folder, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    proofs = merkle.audit(docs, tampered)
+    return proofs.withColumn("proof_sha256", F.sha2(merkle.proof_text(), 256)).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
+query(op12_merkle_manifest, merkle.SQL)
+
+
+@query
+def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document, written to token files and read back."""
+    path = token_files.new_folder(spark)
+    token_files.write(table(spark, folder, "documents"), path, tokens.vocabulary_path(tokens.BYTE_BPE))
+    return token_files.read(spark, path)
