@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    alignment,
     ball_tree,
+    common,
     decontamination,
     license_scan,
     line_dedup,
@@ -133,6 +135,18 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links of two tokenizers over every document, rated by the whole corpus."""
+    paths = [tokens.vocabulary_path(name) for name in (tokens.BYTE_BPE, tokens.PIECE_BPE)]
+    aligned = alignment.align(table(spark, folder, "documents"), *paths)
+    digests = common.store(alignment.digest_groups(aligned))
+    rated = alignment.rate(digests, alignment.pair_counts(digests))
+    return rated.withColumn("n_links", F.col("n_groups")).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Every document proved in the manifest; where 5 divides the id's crc32, with a changed text."""
     docs = table(spark, folder, "documents")
