@@ -34,6 +34,7 @@ from . import tokens as tk
 MAGIC, VERSION = b"TIDB", 1
 HEAD = struct.Struct("<4sI32sII")
 END_ID = 0
+SLICE = 2 << 20
 # ``before``: ids in the block before the document's.
 ENTRY = ("doc_id", "offset", "length", "before", "n_tokens")
 BLOCK = f"part int, seq long, entries array<struct<{','.join(f'{k}:long' for k in ENTRY)}>>, data binary"
@@ -41,8 +42,8 @@ BLOCK = f"part int, seq long, entries array<struct<{','.join(f'{k}:long' for k i
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample_texts`` texts of up to ``sample_bytes`` (least hashes of the id) train the dictionary; they
-    bound what the driver reads. Blocks are closed at ``block_bytes``; one longer frame is a block."""
+    """About ``sample_texts`` texts of up to ``sample_bytes`` train the dictionary, never more than twice as many;
+    they bound what the driver reads. Blocks are closed at ``block_bytes``; one longer frame is a block."""
 
     level: int = 3
     dictionary_bytes: int = 32 << 10
@@ -100,12 +101,11 @@ class Container:
 
 
 def _train(docs: DataFrame, vocabulary: str, settings: Settings) -> tuple[bytes, int]:
-    sample = (
-        docs.filter(F.octet_length("text").between(1, settings.sample_bytes))
-        .select("text", F.xxhash64(F.lit(13), "doc_id").alias("h"))
-        .orderBy("h", "text")
-        .limit(settings.sample_texts)
-    )
+    # About sample_texts rows by a hash of their place, so that no value decides how many there are.
+    share = min(1.0, settings.sample_texts / max(1, docs.count()))
+    chosen = F.xxhash64(F.lit(13), F.monotonically_increasing_id()).cast("double") < (2 * share - 1) * 2.0**63
+    sample = docs.filter(chosen & F.octet_length("text").between(1, settings.sample_bytes)).select("text")
+    sample = sample.limit(2 * settings.sample_texts)
     texts = [r["text"].encode() for r in sample.collect()]
     tokenizer = tk.ByteBpe(vocabulary)
     width = width_of(tokenizer.tokenizer.get_vocab_size())
@@ -131,14 +131,15 @@ def write(docs: DataFrame, path: str, vocabulary: str, settings: Settings = Sett
         part, seq, frames, entries, size, count = TaskContext.get().partitionId(), 0, [], [], 0, 0
         for batch in batches:
             names = batch.column("doc_id")
-            for first, rows, data, offsets in c.slices(batch, "text", 4 << 20):
-                flat, at = tk.Pieces(data, offsets).ids(memo)
-                for i in range(rows):
-                    ids = np.append(flat[at[i] : at[i + 1]], END_ID).astype(f"<u{width}")
-                    frame = writer.compress(ids.tobytes())
-                    entries.append((names[first + i].as_py(), size, len(frame), count, len(ids)))
+            for first, rows, data, offsets in c.slices(batch, "text", SLICE):
+                flat, at = tk.Pieces(data, offsets, points=True).ids(memo)
+                ids = np.insert(flat.astype(f"<u{width}"), at[1:], END_ID).tobytes()
+                ends = (at[1:] + np.arange(1, rows + 1)).tolist()
+                for i, (start, end) in enumerate(zip([0, *ends], ends)):
+                    frame = writer.compress(ids[start * width : end * width])
+                    entries.append((names[first + i].as_py(), size, len(frame), count, end - start))
                     frames.append(frame)
-                    size, count = size + len(frame), count + len(ids)
+                    size, count = size + len(frame), count + end - start
                     if size >= settings.block_bytes:
                         yield _block(part, seq, frames, entries, digest)
                         seq, frames, entries, size, count = seq + 1, [], [], 0, 0
