@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from . import common as c
 from . import tokens as tk
 
-SLICE = 2 << 20
-MEMO_WINDOWS = 300_000
+SLICE = 1 << 20
+MEMO = 150_000
 ALIGNED = (
     "doc_id long, slice long, a_ids array<int>, b_ids array<int>, a_sizes array<int>, b_sizes array<int>, "
     "links array<int>, times array<int>, pairs array<long>, counts array<long>"
@@ -37,7 +37,7 @@ def pair_id(a, b):
 
 
 class Windows:
-    """Alignments of windows by id tuples; the memo drops all when it is full."""
+    """Alignments of windows by id tuples, in a bounded memo."""
 
     def __init__(self, a: list[bytes], b: list[bytes]):
         self.lengths = tuple(np.array([len(x) for x in side], np.int64) for side in (a, b))
@@ -45,29 +45,30 @@ class Windows:
         self.flat = tuple(np.frombuffer(b"".join(side), np.uint8) for side in (a, b))
         self.starts = tuple(np.cumsum(x) - x for x in self.lengths)
         self.plain = tuple(x.tolist() for x in self.lengths)
-        self.memo: dict[bytes, tuple[list, list, list]] = {}
+        self.memo = tk.Memo(self, MEMO)
 
     def spelling(self, side: int, ids: np.ndarray) -> np.ndarray:
         return self.flat[side][c.spread(self.starts[side][ids], self.lengths[side][ids])]
 
-    def window(self, a: list[int], b: list[int]) -> tuple[list, list, list]:
-        """(tokens of each group in a, in b, linked pair of each group)."""
+    def encode(self, keys: list[bytes]) -> list[list[int]]:
+        """For windows (ids of a, -1, ids of b): each group's tokens in a, tokens in b, and the two ids that end it."""
+        return [self._align(np.frombuffer(key, np.int32).tolist()) for key in keys]
+
+    def _align(self, ids: list[int]) -> list[int]:
         length_a, length_b = self.plain
-        a_sizes, b_sizes, pairs = [], [], []
-        i = j = p = q = 0
-        ahead = 0  # bytes of a minus bytes of b so far
-        while i < len(a):
-            ahead += length_a[a[i]]
+        end, n, out = ids.index(-1), len(ids), []
+        i, j = 0, end + 1
+        p, q, ahead = i, j, 0  # bytes of a minus bytes of b so far
+        while i < end:
+            ahead += length_a[ids[i]]
             i += 1
-            while ahead > 0:
-                ahead -= length_b[b[j]]
+            while ahead > 0 and j < n:
+                ahead -= length_b[ids[j]]
                 j += 1
             if ahead == 0:
-                a_sizes.append(i - p)
-                b_sizes.append(j - q)
-                pairs.append(pair_id(a[i - 1], b[j - 1]))
+                out += (i - p, j - q, ids[i - 1], ids[j - 1])
                 p, q = i, j
-        return a_sizes, b_sizes, pairs
+        return out
 
     def anchors(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(places in a, in b) where windows start: tokens that start with a space, at the same byte, so that both
@@ -93,30 +94,17 @@ class Windows:
         array = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(sizes), [None, pa.py_buffer(bounds), pa.py_buffer(keys)]
         ).dictionary_encode()
-        found = [self.known(k) for k in array.dictionary.to_pylist()]
-        n = np.array([len(x[0]) for x in found], np.int64)
+        flat, starts, sizes = self.memo.encode(array.dictionary.to_pylist())
         index = array.indices.to_numpy(zero_copy_only=False)
-        take = c.spread((np.cumsum(n) - n)[index], n[index])
-        return tuple(
-            np.fromiter((v for x in found for v in x[k]), np.int64, int(n.sum()))[take] for k in range(3)
-        )
-
-    def known(self, key: bytes) -> tuple[list, list, list]:
-        out = self.memo.get(key)
-        if out is None:
-            ids = np.frombuffer(key, np.int32).tolist()
-            at = ids.index(-1)
-            if len(self.memo) >= MEMO_WINDOWS:
-                self.memo.clear()
-            out = self.memo[key] = self.window(ids[:at], ids[at + 1 :])
-        return out
+        rows = flat[c.spread(starts[index], sizes[index])].reshape(-1, 4)
+        return rows[:, 0], rows[:, 1], pair_id(rows[:, 2].astype(np.int64), rows[:, 3].astype(np.int64))
 
 
 _windows: dict[tuple, Windows] = {}
 
 
 def _of_worker(a_path: str, b_path: str) -> tuple[tk.Memo, tk.Memo, Windows]:
-    a, b = tk.memo(tk.ByteBpe, a_path, True), tk.memo(tk.PieceBpe, b_path)
+    a, b = tk.memo(tk.ByteBpe, a_path, True, limit=MEMO), tk.memo(tk.PieceBpe, b_path, limit=MEMO)
     if (a_path, b_path) not in _windows:
         _windows[a_path, b_path] = Windows(a.tokenizer.token_bytes(), b.tokenizer.token_bytes())
     return a, b, _windows[a_path, b_path]

@@ -104,12 +104,12 @@ def test_alignment_is_brute_force(docs, paths, monkeypatch):
 
 
 def test_windows_follow_their_id_tuples(paths):
-    a, b = tokens.memo(tokens.ByteBpe, paths[0], True), tokens.memo(tokens.PieceBpe, paths[1])
+    a, b = tokens.Memo(tokens.ByteBpe(paths[0], True)), tokens.Memo(tokens.PieceBpe(paths[1]))
     windows = alignment.Windows(a.tokenizer.token_bytes(), b.tokenizer.token_bytes())
     text = b"".join([b" the antidisestablishment of the the of"] * 3)
     parts = alignment.align_slice(np.frombuffer(text, np.uint8), np.array([0, len(text)]), a, b, windows)
     assert parts[2][0].sum() == len(parts[0][0]) and parts[3][0].sum() == len(parts[1][0])
-    assert len(windows.memo) <= 4  # one entry for each different word
+    assert len(windows.memo.young.slots) <= 4  # one entry for each different word
 
 
 def test_alignment_of_an_empty_table(docs, paths):
