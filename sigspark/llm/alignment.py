@@ -153,20 +153,30 @@ def _head(values: np.ndarray, rows: int) -> pa.ListArray:
     return pa.ListArray.from_arrays(offsets, pa.array(values, pa.int64()), mask=pa.array([False] + [True] * (rows - 1)))
 
 
-def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
+DIGESTED = (
+    "doc_id long, slice long, n_a long, n_b long, n_groups long, groups_sha256 string, "
+    "links array<int>, times array<int>, pairs array<long>, counts array<long>"
+)
+
+
+def align(docs: DataFrame, a_path: str, b_path: str, *, digest: bool = False) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): ids of both tokenizers (``tokens.ByteBpe``, ``tokens.PieceBpe``),
     ``a_sizes`` and ``b_sizes`` (tokens of each group in them), and ``links`` with ``times``: places in its slice's list of
     id pairs, and how often the document links each. ``slice`` names the slice; its first row has that list,
     ``pairs`` with ``counts``, null on the others.
 
+    With ``digest`` the ids and sizes, several times the text, stay in the task, and ``n_a``, ``n_b``, ``n_groups`` and
+    ``groups_sha256`` are in their place: the SHA-256 of the groups written as ``a1,a2|b1;a3|b2,b3``, or '' without tokens.
+
     Texts get a space before them. A null or empty text, and one whose tokens do not spell the text in both,
     has no tokens. Other columns are ignored; rows that repeat are aligned each; an empty table gives no rows.
     """
-    names = [x.split()[0] for x in ALIGNED.split(", ")]
+    schema = DIGESTED if digest else ALIGNED
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo_a, memo_b, windows = _of_worker(a_path, b_path)
-        number = TaskContext.get().partitionId() << 32
+        number, spellings = TaskContext.get().partitionId() << 32, {}
         for batch in batches:
             for first, rows, data, offsets in c.slices(batch, "text", SLICE):
                 *parts, (pairs, at) = align_slice(*tk.with_space(data, offsets), memo_a, memo_b, windows)
@@ -175,10 +185,16 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                 owner = np.repeat(np.arange(rows, dtype=np.int64), np.diff(at))
                 found, times = np.unique(owner * (len(distinct) + 1) + where, return_counts=True)
                 links_at = np.searchsorted(found, np.arange(rows + 1, dtype=np.int64) * (len(distinct) + 1))
+                if digest:
+                    texts = group_texts(*parts, spellings)
+                    hashes = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts]
+                    own = [*(pa.array(np.diff(parts[k][1])) for k in (0, 1, 2)), pa.array(hashes, pa.string())]
+                else:
+                    own = [_column(*part, pa.int32()) for part in parts]
                 columns = [
                     batch.column("doc_id").slice(first, rows),
                     pa.array(np.full(rows, number)),
-                    *(_column(*part, pa.int32()) for part in parts),
+                    *own,
                     _column(found % (len(distinct) + 1), links_at, pa.int32()),
                     _column(times, links_at, pa.int32()),
                     _head(distinct, rows),
@@ -187,29 +203,7 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=names)
                 number += 1
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ALIGNED)
-
-
-def digest_groups(aligned: DataFrame) -> DataFrame:
-    """``aligned`` with ``n_a``, ``n_b``, ``n_groups`` and ``groups_sha256`` in place of ids and sizes: the SHA-256 of the
-    groups written as ``a1,a2|b1;a3|b2,b3``, or '' for a document without tokens."""
-    schema = (
-        "doc_id long, slice long, n_a long, n_b long, n_groups long, groups_sha256 string, "
-        "links array<int>, times array<int>, pairs array<long>, counts array<long>"
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spellings: dict[str, np.ndarray] = {}
-        for batch in batches:
-            lists = {k: _values(batch.column(k)) for k in ("a_ids", "b_ids", "a_sizes", "b_sizes")}
-            texts = group_texts(*lists.values(), spellings)
-            digests = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts]
-            sizes = [pa.array(np.diff(lists[k][1])) for k in ("a_ids", "b_ids", "a_sizes")]
-            rest = [batch.column(k) for k in ("links", "times", "pairs", "counts")]
-            columns = [batch.column("doc_id"), batch.column("slice"), *sizes, pa.array(digests, pa.string()), *rest]
-            yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in schema.split(", ")])
-
-    return aligned.mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
 def _values(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:

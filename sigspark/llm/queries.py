@@ -139,8 +139,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     """Groups and links of two tokenizers over every document, rated by the whole corpus."""
     paths = [tokens.vocabulary_path(name) for name in (tokens.BYTE_BPE, tokens.PIECE_BPE)]
-    aligned = alignment.align(table(spark, folder, "documents"), *paths)
-    digests = common.store(alignment.digest_groups(aligned))
+    digests = common.store(alignment.align(table(spark, folder, "documents"), *paths, digest=True))
     rated = alignment.rate(digests, alignment.pair_counts(digests))
     return rated.withColumn("n_links", F.col("n_groups")).select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"

@@ -68,8 +68,14 @@ def train_dictionary(samples: list[bytes], size: int) -> bytes:
         return b"".join(samples)[-size:]
 
 
-def _shared(dictionary: bytes) -> dict:
-    return {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}
+def _shared(dictionary: bytes, level: int | None = None) -> dict:
+    """The dictionary as an argument, digested once for a level that compresses."""
+    if not dictionary:
+        return {}
+    shared = zstandard.ZstdCompressionDict(dictionary)
+    if level is not None:
+        shared.precompute_compress(level)
+    return {"dict_data": shared}
 
 
 def pack(frames: list[bytes], digest: bytes) -> bytes:
@@ -127,7 +133,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, settings: Settings = Sett
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = tk.memo(tk.ByteBpe, vocabulary, False)
-        writer = zstandard.ZstdCompressor(level=settings.level, write_content_size=True, **_shared(dictionary))
+        writer = zstandard.ZstdCompressor(level=settings.level, write_content_size=True, **_shared(dictionary, settings.level))
         part, seq, frames, entries, size, count = TaskContext.get().partitionId(), 0, [], [], 0, 0
         for batch in batches:
             names = batch.column("doc_id")

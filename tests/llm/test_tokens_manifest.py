@@ -94,7 +94,7 @@ def brute_alignment(rows, paths):
 
 def test_alignment_is_brute_force(docs, paths, monkeypatch):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    aligned = alignment.digest_groups(alignment.align(docs, *paths)).persist()
+    aligned = alignment.align(docs, *paths, digest=True).persist()
     got = alignment.rate(aligned, alignment.pair_counts(aligned))
     columns = ("doc_id", "n_a", "n_b", "n_groups", "n_best", "count_sum", "groups_sha256")
     key = lambda r: tuple((x is None, str(x)) for x in r)
@@ -103,6 +103,17 @@ def test_alignment_is_brute_force(docs, paths, monkeypatch):
     assert any(r[1] == 0 and r[0] is not None for r in got) and any(r[1] > 1000 for r in got)
 
 
+def test_aligned_ids_and_groups_spell_the_text(docs, paths):
+    spell = tokens.ByteBpe(paths[0], True).token_bytes(), tokens.PieceBpe(paths[1]).token_bytes()
+    for r in alignment.align(docs, *paths).join(docs.select("doc_id", "text"), "doc_id").collect():
+        i = j = 0
+        for p, q in zip(r["a_sizes"], r["b_sizes"]):
+            a, b = r["a_ids"][i : i + p], r["b_ids"][j : j + q]
+            assert b"".join(spell[0][x] for x in a) == b"".join(spell[1][x] for x in b)
+            i, j = i + p, j + q
+        assert (i, j) == (len(r["a_ids"]), len(r["b_ids"])) and sum(r["times"]) == len(r["a_sizes"])
+
+
 def test_windows_follow_their_id_tuples(paths):
     a, b = tokens.Memo(tokens.ByteBpe(paths[0], True)), tokens.Memo(tokens.PieceBpe(paths[1]))
     windows = alignment.Windows(a.tokenizer.token_bytes(), b.tokenizer.token_bytes())
@@ -113,7 +124,7 @@ def test_windows_follow_their_id_tuples(paths):
 
 
 def test_alignment_of_an_empty_table(docs, paths):
-    aligned = alignment.digest_groups(alignment.align(docs.limit(0), *paths))
+    aligned = alignment.align(docs.limit(0), *paths, digest=True)
     assert alignment.rate(aligned, alignment.pair_counts(aligned)).count() == 0
 
 
