@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -214,18 +212,22 @@ def metric_series(
     )
 
 
-def coefficient_rows(coefficients, names: DataFrame, classes: Sequence[str]) -> DataFrame:
-    """(class, feature, coef) from a fitted k x p coefficient matrix, which the model holds anyway,
-    and names (pos, feature); an index without a name becomes ``feature_<i>``."""
-    spark = names.sparkSession
-    matrix = coefficients.toArray() if hasattr(coefficients, "toArray") else np.asarray(coefficients)
-    k, p = matrix.shape
-    flat = pd.DataFrame({"row": np.repeat(np.arange(k), p), "pos": np.tile(np.arange(p), k), "coef": matrix.reshape(-1)})
-    rows = spark.createDataFrame(flat, "row long, pos long, coef double")
-    label = F.get(F.array(*[F.lit(c) for c in classes]), F.col("row").cast("int"))
-    named = rows.join(names.select("pos", "feature"), "pos", "left")
+def coefficient_rows(weights: DataFrame, names: DataFrame, classes: Sequence[str]) -> DataFrame:
+    """(class, feature, coef) from a table of weights (pos, class number, weight) and names (pos, feature). A feature
+    that a class has no weight for has coefficient 0; a weight without a name becomes ``feature_<i>``, the
+    intercept (pos -1) is left out. A join; the coefficients never are in one place."""
+    spark = weights.sparkSession
+    label = F.get(F.array(*[F.lit(c) for c in classes]), F.col("class").cast("int"))
+    numbers = spark.range(len(classes)).select(F.col("id").cast("int").alias("class"))
+    known = names.select(F.col("pos").cast("int").alias("pos"), "feature")
+    # A handful of classes: each name once for each.
+    grid = known.withColumn("class", F.explode(F.array(*[F.lit(i) for i in range(len(classes))])))
+    listed = weights.filter("pos >= 0").select(F.col("pos").cast("int").alias("pos"), F.col("class").cast("int").alias("class"), "weight")
+    joined = grid.join(listed, ["pos", "class"], "full").join(numbers, "class", "left_semi")
     unnamed = F.concat(F.lit("feature_"), F.col("pos").cast("string"))
-    return named.select(label.alias("class"), F.coalesce("feature", unnamed).alias("feature"), "coef")
+    return joined.select(
+        label.alias("class"), F.coalesce("feature", unnamed).alias("feature"), F.coalesce("weight", F.lit(0.0)).alias("coef")
+    )
 
 
 def top_coefficients(rows: DataFrame, k: int = 10, group: str = "class") -> DataFrame:

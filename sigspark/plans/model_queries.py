@@ -1,20 +1,20 @@
-"""Model training and scoring on the driver tables; no SQL counterpart exists for these."""
+"""Model training and scoring on the driver tables. SQL cannot train; where it can, it checks what follows."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as lx
 from ..functions import sentiment as se
+from ..functions import text as tx
 from ..operators import order as od
 from ..operators import report as rp
 from ..operators.tfidf import TfidfModel, feature_names
 from ..session import checkpoint_folder
 from . import embeddings as em
-from . import inputs, models, signal_study, text_study
+from . import inputs, linear, models, signal_study, text_study
 from .registry import query, rounded
 
 # The registered runs use the defaults of the functions they call: full grids, rounds and folds, and the
@@ -27,29 +27,48 @@ def _prepared(spark, folder):
     return text_study.prepare(parted, TEXT)
 
 
-def _search(spark, folder, spec):
+def _folded(spark, folder):
     train, _, _ = _prepared(spark, folder)
-    folded = od.stratified_folds(train, "label", "doc_id").persist()
-    _, table = models.grid_search(folded, *spec, parallelism=4)
+    return od.stratified_folds(train, "label", "doc_id").persist()
+
+
+def _scores(table):
+    return table.select(F.to_json("params").alias("params"), rounded("cv_macro_f1").alias("cv_macro_f1"))
+
+
+def _linear_scores(spark, folder, grid):
+    """Cross-validated scores, with how many of the setting's problems ended with a small enough gradient."""
+    folded = _folded(spark, folder)
+    search = grid.search(folded)
     folded.unpersist()
-    return table.select(
-        F.to_json("params").alias("params"), rounded("cv_macro_f1").alias("cv_macro_f1")
+    ended = search.gradients(spark).groupBy("setting").agg(
+        F.count(F.lit(1)).alias("problems"), F.count_if(F.col("gradient") <= F.col("allowed")).alias("converged")
     )
+    joined = search.table(spark).join(ended, "setting")
+    return joined.select(F.to_json("params").alias("params"), rounded("cv_macro_f1").alias("cv_macro_f1"), "problems", "converged")
 
 
 @query("lr_grid")
 def lr_grid(spark, folder):
-    return _search(spark, folder, models.logistic_grid())
+    return _linear_scores(spark, folder, models.logistic_grid())
 
 
 @query("svm_grid")
 def svm_grid(spark, folder):
-    return _search(spark, folder, models.svm_grid())
+    return _linear_scores(spark, folder, models.svm_grid())
 
 
 @query("rf_grid")
 def rf_grid(spark, folder):
-    return _search(spark, folder, models.forest_grid())
+    folded = _folded(spark, folder)
+    _, table = models.grid_search(folded, *models.forest_grid(), parallelism=4)
+    folded.unpersist()
+    return _scores(table)
+
+
+def _logistic(train, vectors):
+    size = vectors.size + len(tx.LEXICON_FEATURES)
+    return models.logistic_grid((1.0,), ("l2",)).fit(train, n_features=size)
 
 
 @query("text_model_run")
@@ -68,7 +87,7 @@ def text_model_run(spark, folder):
 def score_text(spark, folder):
     """Train on the labelled texts, then score every document and conversation turn."""
     train, _, vectors = _prepared(spark, folder)
-    model = models.BalancedLogistic().fit(train)
+    model = _logistic(train, vectors)
     documents = inputs.documents(spark, folder).select(
         F.concat(F.lit("d"), "doc_id").alias("text_id"), "text"
     )
@@ -87,14 +106,14 @@ def score_text(spark, folder):
 def saved_model_scores(spark, folder):
     """Vectors and a model saved, loaded and applied: documents scored, and those scored differently."""
     train, _, vectors = _prepared(spark, folder)
-    model = models.BalancedLogistic().fit(train)
+    model = _logistic(train, vectors)
     path = f"{checkpoint_folder(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
     vectors.save(f"{path}/vectors")
     model.save(f"{path}/model")
     documents = inputs.documents(spark, folder)
     pairs = (
         (vectors, model),
-        (TfidfModel.load(spark, f"{path}/vectors"), models.OneVsRestModel.load(spark, f"{path}/model")),
+        (TfidfModel.load(spark, f"{path}/vectors"), linear.LinearModel.load(spark, f"{path}/model")),
     )
     fresh, loaded = (
         text_study.score_texts(documents, v, m, lx.LABEL_NAMES, TEXT).select("doc_id", "predicted_label", "proba")
@@ -111,8 +130,8 @@ def saved_model_scores(spark, folder):
 @query("lr_top_terms")
 def lr_top_terms(spark, folder):
     train, _, vectors = _prepared(spark, folder)
-    model = models.BalancedLogistic().fit(train)
-    rows = rp.coefficient_rows(models.coefficient_matrix(model), feature_names(vectors), lx.LABEL_NAMES)
+    model = _logistic(train, vectors)
+    rows = rp.coefficient_rows(model.weights, feature_names(vectors), lx.LABEL_NAMES)
     return rp.top_coefficients(rows)
 
 
@@ -128,23 +147,22 @@ def embed_cache(spark, folder):
     return out.select("doc_id", F.size("embedding").alias("width"), rounded(norm, 4).alias("norm"))
 
 
+def _boosted(spark, folder):
+    rows = inputs.vectors(spark, folder).select("vec_id", "label", "embedding")
+    parted = od.stratified_split(rows, "label", "vec_id")
+    train = od.stratified_folds(parted.filter(F.col("part") == "train"), "label", "vec_id")
+    test = parted.filter(F.col("part") == "test").withColumn("fold", F.lit(None).cast("int"))
+    columns = ("vec_id", "label", "fold", "embedding")
+    both = train.select(*columns).unionByName(test.select(*columns))
+    classes = (rows.agg(F.max("label")).first()[0] or 0) + 1
+    return models.boosted_search(both, classes, id_column="vec_id", features="embedding")
+
+
 @query("boosted_vectors")
 def boosted_vectors(spark, folder):
-    """Boosted trees per label on the embedding table, the best of the grid; a stratified test part."""
-    rows = inputs.vectors(spark, folder).select(
-        "vec_id", "label",
-        array_to_vector(F.transform("embedding", lambda x: x.cast("double"))).alias("features"),
-    )
-    parted = od.stratified_split(rows, "label", "vec_id").persist()
-    train = parted.filter(F.col("part") == "train")
-    folded = od.stratified_folds(train, "label", "vec_id").persist()
-    model, _ = models.grid_search(folded, *models.boosted_grid(), parallelism=4)
-    folded.unpersist()
-    scored = model.transform(parted.filter(F.col("part") == "test"))
-    return scored.select(
-        "vec_id", "label", F.col("prediction").cast("int").alias("prediction"),
-        rounded(F.array_max("proba")).alias("confidence"),
-    )
+    """Boosted trees on the embedding table, the best of the grid; a stratified test part."""
+    _, predictions, _ = _boosted(spark, folder)
+    return predictions.select("vec_id", "label", "prediction", rounded(F.array_max("proba")).alias("confidence"))
 
 
 def _dataset(spark, folder):

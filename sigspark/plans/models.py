@@ -6,20 +6,14 @@ The loops below run over models, folds and classes; every fit and score is a Spa
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from itertools import product
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LinearSVC,
-    LogisticRegression,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +22,8 @@ from pyspark.sql import functions as F
 from ..operators import metrics as me
 from ..operators import order as od
 from ..operators import signal
+from ..session import materialise
+from . import boosting, linear
 
 SEED = 42
 
@@ -66,163 +62,6 @@ def class_sizes(df: DataFrame, label: str = "label") -> dict[int, int]:
     return {r["c"]: r["n"] for r in counts.collect()}
 
 
-class OneVsRestModel(Model):
-    """One binary model per class; the largest margin wins.
-
-    Probabilities are the binary ones scaled to sum to one, or absent for a model without them.
-    """
-
-    def __init__(self, models: Sequence, classes: Sequence[int], features: str, slope: float | None):
-        super().__init__()
-        self.models, self.classes = list(models), list(classes)
-        self.features, self.slope = features, slope
-
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        wide = dataset
-        raw = [f"_raw{i}" for i in range(len(self.models))]
-        for name, model in zip(raw, self.models):
-            wide = model.setRawPredictionCol(name).setPredictionCol("").transform(wide)
-        out = wide.withColumn("_margins", F.array(*[vector_to_array(n)[1] for n in raw]))
-        best = F.array_position("_margins", F.array_max("_margins")).cast("int") - 1
-        out = out.withColumn(
-            "prediction", F.get(F.array(*[F.lit(float(c)) for c in self.classes]), best)
-        )
-        if self.slope is not None:
-            p = F.transform("_margins", lambda m: F.lit(1.0) / (F.lit(1.0) + F.exp(-m * self.slope)))
-            total = F.aggregate("_p", F.lit(0.0), lambda acc, x: acc + x)
-            out = (
-                out.withColumn("_p", p)
-                .withColumn("_total", total)
-                .withColumn("proba", F.transform("_p", lambda x: x / F.col("_total")))
-                .drop("_p", "_total")
-            )
-        return out.drop("_margins", *raw)
-
-
-    def save(self, path: str) -> None:
-        """The binary models and, as one JSON row, what holds them together."""
-        for i, model in enumerate(self.models):
-            model.write().overwrite().save(f"{path}/model-{i}")
-        spark = SparkSession.active()
-        row = (len(self.models), [int(c) for c in self.classes], self.features, self.slope)
-        spark.createDataFrame([row], _ENSEMBLE).coalesce(1).write.mode("overwrite").json(f"{path}/ensemble")
-
-    @classmethod
-    def load(cls, spark: SparkSession, path: str) -> OneVsRestModel:
-        row = spark.read.schema(_ENSEMBLE).json(f"{path}/ensemble").first()
-        models = [DefaultParamsReader.loadParamsInstance(f"{path}/model-{i}", spark) for i in range(row["n"])]
-        return cls(models, row["classes"], row["features"], row["slope"])
-
-
-_ENSEMBLE = "n int, classes array<int>, features string, slope double"
-
-
-class _OneVsRest(Estimator):
-    """Balanced one-vs-rest: the class's own rows weigh n / (k * n_class), all others 1."""
-
-    C = Param(Params._dummy(), "C", "inverse regularisation strength", TypeConverters.toFloat)
-    slope: float | None = None
-
-    def __init__(self, features: str = "features", label: str = "label"):
-        super().__init__()
-        self.features, self.label = features, label
-        self._setDefault(C=1.0)
-
-    def setC(self, value: float):
-        return self._set(C=value)
-
-    def _binary(self, total_weight: float):
-        raise NotImplementedError
-
-    def _fit(self, dataset: DataFrame) -> OneVsRestModel:
-        wide = dataset.select(F.col(self.label).cast("int").alias("_c"), self.features)
-        # Read once per class below; recomputed from its lineage if an executor is lost.
-        wide = wide.persist()
-        try:
-            sizes = class_sizes(wide, "_c")
-            n, k = sum(sizes.values()), len(sizes)
-            if k < 2:
-                raise ValueError(f"need two classes to train, got {sorted(sizes)}")
-
-            def one(c: int):
-                own = n / (k * sizes[c])
-                target = wide.select(
-                    self.features,
-                    (F.col("_c") == c).cast("double").alias("_y"),
-                    F.when(F.col("_c") == c, own).otherwise(1.0).alias("_weight"),
-                )
-                return self._binary(own * sizes[c] + n - sizes[c]).fit(target)
-
-            with ThreadPoolExecutor(min(k, 8)) as pool:
-                models = list(pool.map(one, sorted(sizes)))
-        finally:
-            wide.unpersist()
-        return OneVsRestModel(models, sorted(sizes), self.features, self.slope)
-
-
-class BalancedLogistic(_OneVsRest):
-    """Logistic regression with L1 or L2 penalty on the weights.
-
-    MLlib divides the loss by the total weight W, so regParam = 1 / (C * W) gives the objective
-    penalty(w) + C * sum of weighted losses. MLlib leaves the intercept free, where liblinear
-    penalises it; a constant feature is no way round, since MLlib ignores features without variance.
-    """
-
-    penalty = Param(Params._dummy(), "penalty", "l1 or l2", TypeConverters.toString)
-    slope = 1.0
-
-    def __init__(self, features: str = "features", label: str = "label", max_iter: int = 1000):
-        super().__init__(features, label)
-        self.max_iter = max_iter
-        self._setDefault(penalty="l2")
-
-    def setPenalty(self, value: str):
-        if value not in ("l1", "l2"):
-            raise ValueError(f"penalty must be l1 or l2, not {value!r}")
-        return self._set(penalty=value)
-
-    def _binary(self, total_weight: float):
-        return LogisticRegression(
-            featuresCol=self.features, labelCol="_y", weightCol="_weight", standardization=False, maxIter=self.max_iter, tol=1e-6,
-            elasticNetParam=1.0 if self.getOrDefault(self.penalty) == "l1" else 0.0,
-            regParam=1.0 / (self.getOrDefault(self.C) * total_weight),
-        ).setProbabilityCol("")
-
-
-class BalancedSvm(_OneVsRest):
-    """Linear SVM without probabilities. MLlib minimises the hinge loss, not its square."""
-
-    def __init__(self, features: str = "features", label: str = "label", max_iter: int = 5000):
-        super().__init__(features, label)
-        self.max_iter = max_iter
-
-    def _binary(self, total_weight: float):
-        return LinearSVC(
-            featuresCol=self.features, labelCol="_y", weightCol="_weight", standardization=False, maxIter=self.max_iter, tol=1e-6,
-            regParam=1.0 / (self.getOrDefault(self.C) * total_weight),
-        )
-
-
-class BoostedOneVsRest(_OneVsRest):
-    """Boosted trees for several classes, one binary model each."""
-
-    trees = Param(Params._dummy(), "trees", "boosting rounds", TypeConverters.toInt)
-    depth = Param(Params._dummy(), "depth", "tree depth", TypeConverters.toInt)
-    rate = Param(Params._dummy(), "rate", "learning rate", TypeConverters.toFloat)
-    # A boosted model's probability is 1 / (1 + exp(-2 * margin)).
-    slope = 2.0
-
-    def __init__(self, features: str = "features", label: str = "label"):
-        super().__init__(features, label)
-        self._setDefault(trees=100, depth=3, rate=0.1)
-
-    def _binary(self, total_weight: float):
-        return GBTClassifier(
-            featuresCol=self.features, labelCol="_y", maxIter=self.getOrDefault(self.trees),
-            maxDepth=self.getOrDefault(self.depth), stepSize=self.getOrDefault(self.rate), seed=SEED,
-        ).setProbabilityCol("")
-
-
 class BalancedForest(Estimator):
     """Random forest with balanced class weights; depth None means MLlib's largest, 30."""
 
@@ -282,14 +121,15 @@ FOREST_DEPTHS = (None, 10, 20, 30)
 BOOST_RATES, BOOST_DEPTHS, BOOST_TREES = (0.05, 0.1), (3, 6), (100, 300)
 
 
-def logistic_grid(c=C_GRID, penalties=PENALTY_GRID, **options):
-    est = BalancedLogistic(**options)
-    return est, ParamGridBuilder().addGrid(est.C, c).addGrid(est.penalty, penalties).build()
+def logistic_grid(c=C_GRID, penalties=PENALTY_GRID, **options) -> linear.LinearGrid:
+    """Balanced logistic regression, one against the rest."""
+    return linear.LinearGrid(tuple(linear.Setting(linear.LOGISTIC, p, x) for x, p in product(c, penalties)), **options)
 
 
-def svm_grid(c=C_GRID, **options):
-    est = BalancedSvm(**options)
-    return est, ParamGridBuilder().addGrid(est.C, c).build()
+def svm_grid(c=C_GRID, **options) -> linear.LinearGrid:
+    """Balanced linear SVM with squared hinge loss; it has no probabilities."""
+    options = {"max_iter": 5000, **options}
+    return linear.LinearGrid(tuple(linear.Setting(linear.SQUARED_HINGE, linear.L2, x) for x in c), **options)
 
 
 def forest_grid(trees=FOREST_TREES, depths=FOREST_DEPTHS, **options):
@@ -299,13 +139,59 @@ def forest_grid(trees=FOREST_TREES, depths=FOREST_DEPTHS, **options):
     return est, ParamGridBuilder().addGrid(est.trees, trees).addGrid(est.depth, depths).build()
 
 
-def boosted_grid(rates=BOOST_RATES, depths=BOOST_DEPTHS, trees=BOOST_TREES, **options):
-    est = BoostedOneVsRest(**options)
-    return est, (
-        ParamGridBuilder()
-        .addGrid(est.rate, rates).addGrid(est.depth, depths).addGrid(est.trees, trees)
-        .build()
+def boosted_search(
+    df: DataFrame,
+    classes: int,
+    *,
+    rates=BOOST_RATES,
+    depths=BOOST_DEPTHS,
+    trees=BOOST_TREES,
+    folds: int = 5,
+    fold: str = "fold",
+    id_column: str = "doc_id",
+    label: str = "label",
+    features: str = "features",
+    seed: int = SEED,
+) -> tuple[DataFrame, DataFrame, boosting.Boosted]:
+    """(scores by setting, predictions of rows without a fold, everything trained) of softmax boosting.
+
+    ``df`` has a fold number, null for test rows. All settings, folds and the fits on all folds are trained side by
+    side; fewer trees are a prefix of more. Predictions, of the best setting: id, label, prediction, proba."""
+    pairs = [(r, d) for r in rates for d in depths]
+    blocks, held = range(folds), folds
+    runs = [
+        boosting.Run(tuple(b for b in blocks if b != f), (f,), r, d, tuple(trees)) for r, d in pairs for f in [*blocks, held]
+    ]
+    rows = df.select(
+        F.col(id_column).alias("id"), F.coalesce(F.col(fold), F.lit(held)).alias("block"), F.col(label).alias("y"), features
+    ).withColumnRenamed(features, "features")
+    objective = boosting.Objective(boosting.SOFTMAX, classes, seed=seed)
+    made = boosting.boost(rows, runs, objective)
+    called = F.array_position("margins", F.array_max("margins")).cast("int") - 1
+    scored = made.predictions.withColumns(
+        {"prediction": called, "pair": F.floor(F.col("run") / (folds + 1)).cast("int")}
+    )
+    cells = scored.filter(F.col("block") < folds).groupBy("pair", "round", "block", F.col("y").cast("int").alias("y"), "prediction").agg(
+        F.count(F.lit(1)).alias("n")
     )
+    confusions: dict = {}
+    for r in cells.collect():  # settings x folds x classes x classes
+        confusions.setdefault((r["pair"], r["round"]), {}).setdefault(r["block"], {})[r["y"], r["prediction"]] = r["n"]
+    settings = [(p, t) for p in range(len(pairs)) for t in trees]
+    scores = [sum(map(linear.macro_f1, confusions.get(s, {}).values())) / folds for s in settings]
+    named = [
+        ({"rate": str(pairs[p][0]), "depth": str(pairs[p][1]), "trees": str(t)}, float(x), i)
+        for i, ((p, t), x) in enumerate(zip(settings, scores))
+    ]
+    table = df.sparkSession.createDataFrame(named, "params map<string,string>, cv_macro_f1 double, setting int")
+    best_pair, best_trees = settings[max(range(len(settings)), key=lambda i: (scores[i], -i))]
+    chosen = scored.filter((F.col("block") == held) & (F.col("pair") == best_pair) & (F.col("round") == best_trees))
+    exps = F.transform("margins", lambda m: F.exp(m - F.array_max("margins")))
+    proba = F.transform("_e", lambda e: e / F.aggregate("_e", F.lit(0.0), lambda acc, x: acc + x))
+    predictions = chosen.withColumn("_e", exps).select(
+        F.col("id").alias(id_column), F.col("y").cast("int").alias(label), "prediction", proba.alias("proba")
+    )
+    return table, predictions, made
 
 
 def grid_search(
@@ -337,14 +223,20 @@ def best_setting(table: DataFrame) -> DataFrame:
 # --- returns ----------------------------------------------------------------------------------
 
 
-def _features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(columns), outputCol="features").transform(df)
+def _features(columns: Sequence[str]):
+    return F.array(*[F.col(c).cast("double") for c in columns])
 
 
 MIN_ROWS = 10
 DIRECTION_SCHEMA = "fold int, n_train long, n_test long, accuracy double, f1 double"
 
 
+def _placed(rows: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``id``: the place in ``order``. The leading column is the coarse one: a day holds one row per ticker, and
+    a ticker one row per day."""
+    return od.row_index(rows, list(order), order[0], out="id")
+
+
 def direction_folds(
     dataset: DataFrame,
     target: str,
@@ -360,57 +252,56 @@ def direction_folds(
     """Accuracy and F1 per expanding time fold of a classifier of the sign of the target.
 
     No rows below ten rows of input. Features the dataset lacks are left out. The positive class is weighted
-    by the ratio in the training part of the fold. The folds are fitted side by side.
+    by the ratio in the training part of the fold. The folds are trained side by side.
     """
+    predictions, sizes = direction_predictions(
+        dataset, target, score=score, splits=splits, order=order, trees=trees, depth=depth, rate=rate, seed=seed
+    )
+    if predictions is None:
+        return dataset.sparkSession.createDataFrame([], DIRECTION_SCHEMA)
+    return fold_metrics(predictions, sizes)
+
+
+def fold_metrics(predictions: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(fold, n_train, n_test, accuracy, f1) from (fold, label, prediction) and (fold, n_train)."""
+    hit = (F.col("label") == 1) & (F.col("prediction") == 1)
+    called = F.count_if(F.col("label") == 1) + F.count_if(F.col("prediction") == 1)
+    scores = predictions.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n_test"),
+        (F.count_if(F.col("label") == F.col("prediction")) / F.count(F.lit(1))).alias("accuracy"),
+        F.coalesce(F.try_divide(2 * F.count_if(hit), called), F.lit(0.0)).alias("f1"),
+    )
+    return sizes.join(scores, "fold", "left").select(
+        "fold", "n_train", F.coalesce("n_test", F.lit(0)).cast("long").alias("n_test"), "accuracy", "f1"
+    )
+
+
+def direction_predictions(
+    dataset: DataFrame, target: str, *, score: str, splits: int, order: Sequence[str], trees: int, depth: int, rate: float, seed: int
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """((fold, id, label, prediction, margin), (fold, n_train)); nothing below ten rows.
+
+    Rows keep one place each; a fold is a range of places. The first block is what all folds train on, each
+    fold adds one block and is tested on the next."""
     columns = signal.present_columns(dataset, [score, *signal.CLASSIFIER_FEATURES])
-    rows = signal.drop_missing(dataset, [target, *columns]).withColumn(
-        "label", signal.direction(target)
+    rows = signal.drop_missing(dataset, [target, *columns]).withColumn("y", signal.direction(target))
+    placed = materialise(_placed(rows.select(*order, "y", _features(columns).alias("features")), order))
+    n = placed.count()
+    if n < MIN_ROWS:
+        return None, None
+    size = n // (splits + 1)
+    first = n - splits * size
+    block = F.when(F.col("id") < first, 0).otherwise(1 + F.floor((F.col("id") - first) / size)).cast("int")
+    runs = [boosting.Run(tuple(range(k + 1)), (k + 1,), rate, depth, (trees,)) for k in range(splits)]
+    objective = boosting.Objective(boosting.LOGISTIC, seed=seed, balance=True)
+    made = boosting.boost(placed.select("id", block.alias("block"), "y", "features"), runs, objective)
+    margin = F.get("margins", F.lit(0))
+    predictions = made.predictions.select(
+        F.col("run").alias("fold"), "id", F.col("y").cast("int").alias("label"), (margin > 0).cast("int").alias("prediction"), margin.alias("margin")
     )
-    rows = _features(rows, columns).select("ticker", "published_date", "features", "label")
-    rows = rows.persist()
-    try:
-        if rows.count() < MIN_ROWS:
-            return dataset.sparkSession.createDataFrame([], DIRECTION_SCHEMA)
-        # The leading order column is the coarse one: a day holds one row per ticker, and a ticker
-        # one row per day.
-        folded = od.time_folds(rows, list(order), order[0], splits=splits).persist()
-        try:
-            def one(fold: int):
-                return _one_fold(folded.filter(F.col("fold") == fold), fold, trees, depth, rate, seed)
-
-            with ThreadPoolExecutor(splits) as pool:
-                results = list(pool.map(one, range(splits)))
-        finally:
-            folded.unpersist()
-    finally:
-        rows.unpersist()
-    return dataset.sparkSession.createDataFrame(results, DIRECTION_SCHEMA)
-
-
-def _one_fold(rows: DataFrame, fold: int, trees: int, depth: int, rate: float, seed: int):
-    train, test = rows.filter(F.col("part") == "train"), rows.filter(F.col("part") == "test")
-    sizes = class_sizes(train)
-    if len(sizes) < 2:
-        # One class in training: that class is the only possible prediction.
-        only = float(next(iter(sizes), 0))
-        scored = test.withColumn("prediction", F.lit(only))
-    else:
-        ratio = sizes[0] / sizes[1]
-        weighted = train.withColumn("_weight", F.when(F.col("label") == 1, ratio).otherwise(1.0))
-        model = GBTClassifier(
-            maxIter=trees, maxDepth=depth, stepSize=rate, weightCol="_weight", seed=seed
-        ).fit(weighted)
-        scored = model.transform(test)
-    counts = scored.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("label") == F.col("prediction")).alias("right"),
-        F.count_if((F.col("label") == 1) & (F.col("prediction") == 1)).alias("tp"),
-        F.count_if(F.col("label") == 1).alias("p"),
-        F.count_if(F.col("prediction") == 1).alias("called"),
-    ).first()
-    f1 = 2 * counts["tp"] / (counts["p"] + counts["called"]) if counts["p"] + counts["called"] else 0.0
-    accuracy = counts["right"] / counts["n"] if counts["n"] else None
-    return fold, sum(sizes.values()), counts["n"], accuracy, f1
+    spark = dataset.sparkSession
+    sizes = spark.createDataFrame([(k, first + k * size) for k in range(splits)], "fold int, n_train long")
+    return predictions, sizes
 
 
 def classification_summary(folds: DataFrame) -> DataFrame:
@@ -435,31 +326,36 @@ def return_regression(
 
     All twelve features must exist; no complete row is an error.
     """
+    metrics, predictions, _ = return_model(
+        dataset, target, score=score, trees=trees, depth=depth, rate=rate, row_share=row_share, column_share=column_share,
+        train_share=train_share, seed=seed,
+    )
+    return metrics, predictions
+
+
+def return_model(
+    dataset: DataFrame, target: str, *, score: str, trees: int, depth: int, rate: float, row_share: float, column_share: float,
+    train_share: float, seed: int,
+) -> tuple[DataFrame, DataFrame, boosting.Boosted]:
+    """The regression with its trees."""
     columns = signal.require_columns(dataset, [score, *signal.REGRESSOR_FEATURES])
-    rows = _features(signal.drop_missing(dataset, [target, *columns]), columns)
-    split = od.time_split(
-        rows, ["published_date", "ticker"], "published_date", train_share=train_share
-    ).persist()
-    try:
-        train = split.filter(F.col("part") == "train")
-        n_train = train.count()
-        if n_train == 0:
-            raise ValueError("no complete rows to train on")
-        model = GBTRegressor(
-            labelCol=target, maxIter=trees, maxDepth=depth, stepSize=rate,
-            subsamplingRate=row_share, featureSubsetStrategy=str(column_share), seed=seed,
-        ).fit(train)
-    finally:
-        split.unpersist()
-    predictions = (
-        model.transform(split.filter(F.col("part") == "test"))
-        .withColumnRenamed("prediction", "predicted_return")
-        .drop("features", "part")
+    rows = signal.drop_missing(dataset, [target, *columns])
+    placed = materialise(_placed(rows, ["published_date", "ticker"]))
+    n_train = int(placed.count() * train_share)
+    if n_train == 0:
+        raise ValueError("no complete rows to train on")
+    block = F.when(F.col("id") < n_train, 0).otherwise(1)
+    objective = boosting.Objective(boosting.SQUARED, row_share=row_share, column_share=column_share, seed=seed)
+    made = boosting.boost(
+        placed.select("id", block.alias("block"), F.col(target).alias("y"), _features(columns).alias("features")),
+        [boosting.Run((0,), (1,), rate, depth, (trees,))], objective,
     )
+    found = made.predictions.select("id", F.get("margins", F.lit(0)).alias("predicted_return"))
+    predictions = placed.filter(F.col("id") >= n_train).join(found, "id").drop("id")
     metrics = me.regression_metrics(predictions, target, "predicted_return").select(
         F.lit(n_train).cast("long").alias("n_train"), F.col("n").alias("n_test"), "mae", "rmse", "r2"
     )
-    return metrics, predictions
+    return metrics, predictions, made
 
 
 # --- runs -------------------------------------------------------------------------------------
@@ -468,42 +364,50 @@ def return_regression(
 def run_models(
     train: DataFrame,
     test: DataFrame,
-    specs: Mapping[str, tuple],
+    specs: Mapping[str, linear.LinearGrid | tuple],
     class_names: Sequence[str],
     *,
     dataset: str,
     folds: int = 5,
     id_column: str = "doc_id",
     parallelism: int = 4,
-) -> tuple[DataFrame, dict[str, Model]]:
+    results: str | None = None,
+) -> tuple[DataFrame, dict]:
     """Search, refit and evaluate each model; (one result document, fitted models by name).
 
-    ``specs`` maps a name to (estimator, grid). The document holds one entry per model.
+    ``specs`` maps a name to a ``LinearGrid`` or to (estimator, grid). The document holds one entry per model. With
+    ``results``, a folder, each model's entry is written there once it is done, and a run that is started again
+    reads the entries it finds instead of searching again (their fitted models are then not in the result).
     """
     spark = train.sparkSession
     folded = od.stratified_folds(train, "label", id_column, k=folds).persist()
     entries, fitted = [], {}
     try:
-        for place, (name, (estimator, grid)) in enumerate(specs.items()):
-            model, table = grid_search(
-                folded, estimator, grid, folds=folds, parallelism=parallelism
-            )
-            fitted[name] = model
-            scored = model.transform(test)
-            proba = "proba" if "proba" in scored.columns else None
-            record = me.evaluation_records(scored, class_names, proba=proba)
-            best = best_setting(table).first()
-            entries.append(
-                record.select(
-                    F.lit(place).alias("place"),
+        for place, (name, spec) in enumerate(specs.items()):
+            path = f"{results.rstrip('/')}/{dataset}/{name}" if results else None
+            entry = _stored(spark, path)
+            if entry is None:
+                if isinstance(spec, linear.LinearGrid):
+                    search = spec.search(folded, folds=folds)
+                    model, table = search.model, search.table(spark)
+                    scored = model.transform(test, id_column=id_column)
+                else:
+                    model, table = grid_search(folded, *spec, folds=folds, parallelism=parallelism)
+                    scored = model.transform(test)
+                fitted[name] = model
+                proba = "proba" if "proba" in scored.columns else None
+                record = me.evaluation_records(scored, class_names, proba=proba)
+                best = best_setting(table).first()
+                entry = record.select(
                     F.lit(name).alias("name"),
-                    F.create_map(
-                        *[F.lit(x) for kv in best["params"].items() for x in kv]
-                    ).alias("best_params"),
+                    F.create_map(*[F.lit(x) for kv in best["params"].items() for x in kv]).alias("best_params"),
                     F.lit(best["cv_macro_f1"]).alias("cv_macro_f1"),
                     "metrics",
                 )
-            )
+                if path:
+                    entry.write.mode("overwrite").parquet(path)
+                    entry = spark.read.parquet(path)
+            entries.append(entry.withColumn("place", F.lit(place)))
     finally:
         folded.unpersist()
     union = entries[0]
@@ -521,6 +425,14 @@ def run_models(
     return document, fitted
 
 
-def coefficient_matrix(model: OneVsRestModel):
-    """Coefficients per class."""
-    return [m.coefficients.toArray() for m in model.models]
+def _stored(spark: SparkSession, path: str | None) -> DataFrame | None:
+    """The entry that an earlier run finished, if there is one."""
+    if path is None:
+        return None
+    try:
+        found = spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    return None if found.isEmpty() else found

