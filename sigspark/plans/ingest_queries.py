@@ -267,6 +267,6 @@ def feed_stream_ingest(spark, folder):
     root = _scratch(spark, "feed")
     inputs.headline_feed(spark, folder).write.json(f"{root}/landing")
     ingest_feed(
-        spark, f"{root}/landing", f"{root}/table", f"{root}/progress"
+        spark, f"{root}/landing", f"{root}/table", f"{root}/progress", order=("pos",)
     ).awaitTermination()
     return read_ingested(spark, f"{root}/table").select("pos", "ticker", "url", "seendate")

@@ -121,46 +121,56 @@ ARRIVAL = (
 
 
 def _landed_windows(spark, folder) -> str:
-    """Three files of different sizes that share keys, named by their fetch window."""
+    """A feed landed in three windows of different sizes that share keys: a folder for each, any number of files in it."""
     root = _scratch(spark, "windows")
-    feed = inputs.headline_feed(spark, folder).withColumn("window", F.expr(WINDOW)).persist()
-    try:
-        for window in range(3):
-            own = feed.filter(F.col("window") == window).drop("window").coalesce(1)
-            own.write.json(f"{root}/window-{window}")
-            _name_file(spark, f"{root}/window-{window}", f"{root}/landing/window_{window:04d}.json")
-    finally:
-        feed.unpersist()
+    feed = inputs.headline_feed(spark, folder).withColumn("window", F.expr(WINDOW))
+    feed.write.partitionBy("window").json(f"{root}/landing")
     return f"{root}/landing"
 
 
+def _landed_window():
+    return F.regexp_extract(F.col("_metadata.file_path"), r"/window=(\d+)/", 1)
+
+
 @query("feed_arrival_order", ARRIVAL, needs="feed")
 def feed_arrival_order(spark, folder):
-    """Keep-first over several files: by file, then place in the file."""
+    """Keep-first over several windows: by window, then place."""
     rows = feeds.read_headline_feed(spark, _landed_windows(spark, folder), lines=True)
-    return keep_first(rows, HEADLINE_KEY, ["origin", "pos"]).select("pos", F.upper("ticker").alias("ticker"), "url", "seendate")
+    return keep_first(rows, HEADLINE_KEY, ["window", "pos"]).select("pos", F.upper("ticker").alias("ticker"), "url", "seendate")
 
 
-@query(
-    "feed_stream_batches",
+STREAMED = (
     f"SELECT pos, upper(ticker) AS ticker, url, seendate FROM (SELECT *, row_number() OVER (PARTITION BY "
     f"coalesce(url, ''), coalesce(seendate, '') ORDER BY {WINDOW}, pos) AS turn FROM feed WHERE {TERM_MATCH}) "
-    "WHERE turn = 1",
-    needs="feed",
+    "WHERE turn = 1"
 )
+
+
+@query("feed_stream_batches", STREAMED, needs="feed")
 def feed_stream_batches(spark, folder):
-    """Three files land one after the other, with copies across them; each run takes what is new."""
+    """Three windows land one after the other, with copies across them; each run takes what is new."""
     landed = _landed_windows(spark, folder)
     root = _scratch(spark, "stream")
     for window in range(3):
         # A run reads the landing folder as it is by then.
-        spark.read.text(f"{landed}/window_{window:04d}.json").write.text(f"{root}/landing/w{window}")
+        spark.read.text(f"{landed}/window={window}").write.text(f"{root}/landing/window={window}")
         ingest_feed(
-            spark, f"{root}/landing/*", f"{root}/table", f"{root}/progress", quarantine=f"{root}/bad"
+            spark, f"{root}/landing/*", f"{root}/table", f"{root}/progress", quarantine=f"{root}/bad", origin=_landed_window()
         ).awaitTermination()
     return read_ingested(spark, f"{root}/table").select("pos", "ticker", "url", "seendate")
 
 
+@query("feed_stream_one_batch", STREAMED, needs="feed")
+def feed_stream_one_batch(spark, folder):
+    """All windows in one batch: of copies, the one of the earliest window stays, whatever its place."""
+    landed = _landed_windows(spark, folder)
+    root = _scratch(spark, "stream")
+    ingest_feed(
+        spark, f"{landed}/*", f"{root}/table", f"{root}/progress", quarantine=f"{root}/bad", origin=_landed_window()
+    ).awaitTermination()
+    return read_ingested(spark, f"{root}/table").select("pos", "ticker", "url", "seendate")
+
+
 @query(
     "write_metrics",
     "SELECT 'csv' AS kind, count(*) AS n, round(avg(abs(l_quantity - 25)), 6) AS mae FROM lineitem "

@@ -108,16 +108,22 @@ def ingest_feed(
     *,
     quarantine: str | None = None,
     terms: Mapping[str, Sequence[str]] | DataFrame = lx.SEARCH_TERMS,
-    order: Sequence[str] = ("pos",),
+    order: Sequence[str] = ("origin", "pos"),
     max_files_per_batch: int | None = None,
+    origin: Column | None = None,
 ) -> StreamingQuery:
-    """Process everything landed since the last run, then stop."""
+    """Process everything landed since the last run, then stop.
+
+    Of the copies in one batch the first in ``order`` stays: by file, then place in the file. ``origin`` says
+    what names a row's file and sorts by arrival; by default the file's own name."""
     reader = spark.readStream.schema(LANDED)
     if max_files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     bad = quarantine or f"{output.rstrip('/')}_quarantine"
+    source = F.col("_metadata.file_name") if origin is None else origin
     return (
         reader.json(landing)
+        .select("*", source.alias("origin"))
         .writeStream.foreachBatch(
             lambda batch, batch_id: write_batch(batch, batch_id, output, bad, terms, order)
         )
@@ -129,6 +135,7 @@ def ingest_feed(
 
 def read_ingested(spark: SparkSession, output: str) -> DataFrame:
     schema = StructType([StructField("pos", LANDED["pos"].dataType, True), *schemas.HEADLINE.fields])
+    schema = schema.add("origin", "string")
     return spark.read.schema(schema.add("day", "string").add("batch_id", "long")).parquet(output)
 
 

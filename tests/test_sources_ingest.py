@@ -226,3 +226,13 @@ def test_stream_small_batches(spark, tmp_path):
         ])
     got = run(spark, tmp_path, max_files_per_batch=1)
     assert [g[0] for g in got] == ["u0", "u1", "u2"]
+
+
+def test_stream_orders_files_of_one_batch(spark, tmp_path):
+    """Of copies in one batch the earliest file's stays, whatever its place in it."""
+    seen = "20240101000000"
+    for name, pos, title in (("c.json", 0, "Apple c"), ("a.json", 9, "Apple a"), ("b.json", 4, "Apple b")):
+        land(tmp_path / "landing", name, [{"pos": pos, **headline(url="u", seen=seen, title=title)}])
+    assert run(spark, tmp_path) == [("u", seen, "Apple a")]
+    land(tmp_path / "landing", "0.json", [{"pos": 0, **headline(url="u", seen=seen, title="Apple late")}])
+    assert run(spark, tmp_path) == [("u", seen, "Apple a")]
