@@ -65,7 +65,10 @@ def remove_repeated_lines(docs: DataFrame, lines: int = WINDOW_LINES) -> DataFra
     )
     count = F.when(F.col("text").isNull(), 0).otherwise(F.size(_lines()))
     places = F.sequence(F.lit(0), F.size(_lines()) - 1)
-    kept = F.array_join(F.transform(F.array_except(places, "_gone"), lambda i: F.get(_lines(), i)), "\n")
+    # The lines and the places that stay are one struct, so that a text is split once and not once a line.
+    both = F.array(F.struct(_lines().alias("lines"), F.array_except(places, "_gone").alias("stay")))
+    joined = F.transform(both, lambda s: F.array_join(F.transform(s["stay"], lambda i: F.get(s["lines"], i)), "\n"))
+    kept = F.get(joined, F.lit(0))
     out = rows.join(gone, ["_did", "_th"], "left").withColumns(
         {
             "n_lines": count.cast("long"),

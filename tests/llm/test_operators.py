@@ -639,3 +639,11 @@ def test_digest_queries_cover_every_operator():
 
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def test_line_dedup_of_many_lines(spark):
+    """A text of 100,000 lines is split once, not once a line; this would take hours otherwise."""
+    lines = [f"line {i}" for i in range(100_000)]
+    text = "\n".join([*lines, *lines[:50]])
+    out = line_dedup.remove_repeated_lines(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert out["n_lines"] == 100_050 and out["n_removed"] == 50 and out["text"] == "\n".join(lines)
