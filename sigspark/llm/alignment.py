@@ -25,7 +25,7 @@ from . import common as c
 from . import tokens as tk
 
 SLICE = 1 << 20
-MEMO = 150_000
+MEMO = 300_000
 ALIGNED = (
     "doc_id long, slice long, a_ids array<int>, b_ids array<int>, a_sizes array<int>, b_sizes array<int>, "
     "links array<int>, times array<int>, pairs array<long>, counts array<long>"
