@@ -8,18 +8,18 @@ CONTRACTION = r"n't\b"
 
 # Word lists.
 FINANCIAL = (
-    "cost", "debt", "decline", "decreased", "deficit", "dividend", "drop", "earnings",
-    "exceeded", "expense", "fell", "forecast", "gain", "growth", "income", "increased",
-    "loss", "margin", "plunged", "profit", "revenue", "rose", "sales", "surged", "surplus",
+    "profit", "loss", "growth", "decline", "revenue", "earnings", "exceeded", "rose", "fell",
+    "increased", "decreased", "gain", "drop", "surged", "plunged", "dividend", "forecast", "margin",
+    "debt", "sales", "cost", "income", "expense", "deficit", "surplus",
 )
 POSITIVE = (
-    "dividend", "exceeded", "gain", "growth", "increased", "profit", "rose", "surged", "surplus",
+    "profit", "growth", "rose", "increased", "gain", "surged", "exceeded", "surplus", "dividend",
 )
 NEGATIVE = (
-    "cost", "debt", "decline", "decreased", "deficit", "drop", "expense", "fell", "loss", "plunged",
+    "loss", "decline", "fell", "decreased", "drop", "plunged", "debt", "deficit", "expense", "cost",
 )
 # "n't" is part of the list but no token can equal it, so it never counts.
-NEGATION = ("n't", "neither", "never", "no", "nobody", "nor", "not", "nothing")
+NEGATION = ("no", "not", "nor", "never", "n't", "neither", "nobody", "nothing")
 
 # Words that mark the following token as negated, and that survive stop-word removal.
 NEGATORS = ("no", "not", "nor", "never")
