@@ -12,10 +12,11 @@ from ..functions import text as tx
 from ..operators import order as od
 from ..operators import report as rp
 from ..operators.tfidf import TfidfModel, feature_names
-from ..session import checkpoint_folder
+from ..operators import signal
+from ..session import checkpoint_folder, materialise
 from . import embeddings as em
-from . import inputs, linear, models, signal_study, text_study
-from .registry import query, rounded
+from . import inputs, linear, models, signal_queries, signal_study, text_study  # noqa: F401
+from .registry import ORACLES, query, rounded
 
 # The registered runs use the defaults of the functions they call: full grids, rounds and folds, and the
 # default stop words. All rows, whole texts and all terms are used.
@@ -181,3 +182,58 @@ def gbt_direction(spark, folder):
 def gbt_return(spark, folder):
     metrics, _ = models.return_regression(_dataset(spark, folder), "excess_return")
     return metrics
+
+
+# A day in the dataset has articles, so its count and its weekday are never null.
+_COMPLETE = " AND ".join(
+    f"{c} IS NOT NULL"
+    for c in ("excess_return", "sentiment_score", *signal.REGRESSOR_FEATURES)
+    if c not in ("article_count", "day_of_week")
+)
+# The counts come from the tables; SQL cannot train, so it can only ask that nothing differs.
+RECOMPUTED = (
+    f"SELECT n * 4 // 5 AS n_train, n - n * 4 // 5 AS n_test, 0 AS different, 0 AS splits_different FROM "
+    f"(SELECT count(*) AS n FROM ({ORACLES['daily_dataset']}) WHERE {_COMPLETE})"
+)
+
+
+@query("gbt_return_recomputed", RECOMPUTED)
+def gbt_return_recomputed(spark, folder):
+    """The regression's metrics by plain sums over its written predictions, and the first tree's root split by plain
+    sums over the training rows: how many of them differ from what the model says."""
+    columns = ["sentiment_score", *signal.REGRESSOR_FEATURES]
+    dataset = materialise(signal.drop_missing(_dataset(spark, folder), ["excess_return", *columns]))
+    metrics, predictions, made = models.return_model(
+        dataset, "excess_return", score="sentiment_score", trees=20, depth=4, rate=0.05, row_share=1.0, column_share=1.0,
+        train_share=0.8, seed=models.SEED,
+    )
+    error = F.col("excess_return") - F.col("predicted_return")
+    sums = predictions.agg(
+        F.count(F.lit(1)).alias("n"), F.avg(F.abs(error)).alias("a"), F.avg(error * error).alias("s"),
+        F.var_pop("excess_return").alias("v"),
+    )
+    plain = F.col("plain")
+    apart = [
+        (F.col("mae"), plain["a"]), (F.col("rmse"), F.sqrt(plain["s"])), (F.col("r2"), 1 - plain["s"] / plain["v"]),
+        (F.col("n_test").cast("double"), plain["n"].cast("double")),
+    ]
+    different = sum((F.abs(x - y) > 1e-9 * (1 + F.abs(y))).cast("int") for x, y in apart)
+    found = metrics.withColumn("plain", sums.select(F.struct("*")).scalar()).select(
+        "n_train", "n_test", different.alias("different")
+    )
+
+    root = made.trees.filter("round = 0 AND node = 1").first()
+    last = predictions.select("ticker", "published_date")
+    train = dataset.join(last, ["ticker", "published_date"], "left_anti").select(
+        F.array(*[F.col(c).cast("double") for c in columns]).alias("x"), F.col("excess_return").alias("y")
+    )
+    train = train.withColumn("m", train.agg(F.avg("y")).scalar())
+    left = F.get("x", F.lit(root["feature"])) <= F.lit(root["cut"])
+    halves = train.agg(
+        F.sum(F.when(left, F.col("m") - F.col("y"))).alias("gl"), F.count_if(left).alias("nl"),
+        F.sum(F.when(~left, F.col("m") - F.col("y"))).alias("gr"), F.count_if(~left).alias("nr"),
+        F.sum(F.col("m") - F.col("y")).alias("g"), F.count(F.lit(1)).alias("n"),
+    )
+    gain = F.col("gl") ** 2 / (F.col("nl") + 1) + F.col("gr") ** 2 / (F.col("nr") + 1) - F.col("g") ** 2 / (F.col("n") + 1)
+    wrong = (F.abs(gain - F.lit(root["gain"])) > F.lit(1e-6 * (1 + abs(root["gain"])))).cast("int")
+    return found.withColumn("splits_different", halves.select(wrong).scalar())
