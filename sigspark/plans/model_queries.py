@@ -33,10 +33,6 @@ def _folded(spark, folder):
     return od.stratified_folds(train, "label", "doc_id").persist()
 
 
-def _scores(table):
-    return table.select(F.to_json("params").alias("params"), rounded("cv_macro_f1").alias("cv_macro_f1"))
-
-
 def _linear_scores(spark, folder, grid):
     """Cross-validated scores, with how many of the setting's problems ended with a small enough gradient."""
     folded = _folded(spark, folder)
@@ -62,9 +58,9 @@ def svm_grid(spark, folder):
 @query("rf_grid")
 def rf_grid(spark, folder):
     folded = _folded(spark, folder)
-    _, table = models.grid_search(folded, *models.forest_grid(), parallelism=4)
+    search = models.forest_grid().search(folded)
     folded.unpersist()
-    return _scores(table)
+    return search.table(spark).select(F.to_json("params").alias("params"), rounded("cv_macro_f1").alias("cv_macro_f1"))
 
 
 def _logistic(train, vectors):

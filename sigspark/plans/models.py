@@ -9,13 +9,9 @@ from collections.abc import Mapping, Sequence
 from itertools import product
 
 from pyspark.errors import AnalysisException
-from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml import Estimator
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.ml.util import DefaultParamsReader
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +19,7 @@ from ..operators import metrics as me
 from ..operators import order as od
 from ..operators import signal
 from ..session import materialise
-from . import boosting, linear
+from . import boosting, forest, linear
 
 SEED = 42
 
@@ -56,61 +52,6 @@ class MacroF1(Evaluator):
         return True
 
 
-def class_sizes(df: DataFrame, label: str = "label") -> dict[int, int]:
-    """Rows per class; one entry per class reaches the driver."""
-    counts = df.groupBy(F.col(label).cast("int").alias("c")).agg(F.count(F.lit(1)).alias("n"))
-    return {r["c"]: r["n"] for r in counts.collect()}
-
-
-class BalancedForest(Estimator):
-    """Random forest with balanced class weights; depth None means MLlib's largest, 30."""
-
-    trees = Param(Params._dummy(), "trees", "number of trees", TypeConverters.toInt)
-    depth = Param(Params._dummy(), "depth", "tree depth", TypeConverters.toInt)
-    MAX_DEPTH = 30
-
-    def __init__(self, features: str = "features", label: str = "label"):
-        super().__init__()
-        self.features, self.label = features, label
-        self._setDefault(trees=100, depth=self.MAX_DEPTH)
-
-    def _fit(self, dataset: DataFrame) -> Model:
-        sizes = class_sizes(dataset, self.label)
-        n, k = sum(sizes.values()), len(sizes)
-        weight = F.lit(None).cast("double")
-        for c, size in sizes.items():
-            weight = F.when(F.col(self.label) == c, n / (k * size)).otherwise(weight)
-        model = RandomForestClassifier(
-            featuresCol=self.features, labelCol=self.label, weightCol="_weight", seed=SEED,
-            numTrees=self.getOrDefault(self.trees), maxDepth=self.getOrDefault(self.depth),
-        ).fit(dataset.withColumn("_weight", weight))
-        return ForestModel(model)
-
-
-class ForestModel(Model):
-    """A fitted forest that gives its probabilities as an array, like the other models."""
-
-    def __init__(self, model):
-        super().__init__()
-        self.model = model
-
-    def save(self, path: str) -> None:
-        self.model.write().overwrite().save(path)
-
-    @classmethod
-    def load(cls, spark: SparkSession, path: str) -> ForestModel:
-        return cls(DefaultParamsReader.loadParamsInstance(path, spark))
-
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        return (
-            self.model.setRawPredictionCol("")
-            .setProbabilityCol("_proba")
-            .transform(dataset)
-            .withColumn("proba", vector_to_array("_proba"))
-            .drop("_proba")
-        )
-
-
 # --- grids ------------------------------------------------------------------------------------
 
 # The grids searched.
@@ -132,11 +73,9 @@ def svm_grid(c=C_GRID, **options) -> linear.LinearGrid:
     return linear.LinearGrid(tuple(linear.Setting(linear.SQUARED_HINGE, linear.L2, x) for x in c), **options)
 
 
-def forest_grid(trees=FOREST_TREES, depths=FOREST_DEPTHS, **options):
-    est = BalancedForest(**options)
-    # No limit and 30 are the same forest here.
-    depths = list(dict.fromkeys(BalancedForest.MAX_DEPTH if d is None else d for d in depths))
-    return est, ParamGridBuilder().addGrid(est.trees, trees).addGrid(est.depth, depths).build()
+def forest_grid(trees=FOREST_TREES, depths=FOREST_DEPTHS, **options) -> forest.ForestGrid:
+    """Balanced random forests; the largest is grown once for all settings."""
+    return forest.ForestGrid(tuple(trees), tuple(depths), **options)
 
 
 def boosted_search(
@@ -364,7 +303,7 @@ def return_model(
 def run_models(
     train: DataFrame,
     test: DataFrame,
-    specs: Mapping[str, linear.LinearGrid | tuple],
+    specs: Mapping[str, linear.LinearGrid | forest.ForestGrid | tuple],
     class_names: Sequence[str],
     *,
     dataset: str,
@@ -375,7 +314,7 @@ def run_models(
 ) -> tuple[DataFrame, dict]:
     """Search, refit and evaluate each model; (one result document, fitted models by name).
 
-    ``specs`` maps a name to a ``LinearGrid`` or to (estimator, grid). The document holds one entry per model. With
+    ``specs`` maps a name to a ``LinearGrid``, a ``ForestGrid`` or an MLlib (estimator, grid). The document holds one entry per model. With
     ``results``, a folder, each model's entry is written there once it is done, and a run that is started again
     reads the entries it finds instead of searching again (their fitted models are then not in the result).
     """
@@ -387,8 +326,9 @@ def run_models(
             path = f"{results.rstrip('/')}/{dataset}/{name}" if results else None
             entry = _stored(spark, path)
             if entry is None:
-                if isinstance(spec, linear.LinearGrid):
-                    search = spec.search(folded, folds=folds)
+                if isinstance(spec, linear.LinearGrid | forest.ForestGrid):
+                    own = {"id_column": id_column} if isinstance(spec, forest.ForestGrid) else {}
+                    search = spec.search(folded, folds=folds, **own)
                     model, table = search.model, search.table(spark)
                     scored = model.transform(test, id_column=id_column)
                 else:

@@ -8,7 +8,7 @@ def test_registered_searches_use_the_full_grids():
     lr, svm = models.logistic_grid(), models.svm_grid()
     assert len(lr.settings) == 10 and lr.max_iter == 1000
     assert len(svm.settings) == 5 and svm.max_iter == 5000
-    assert len(models.forest_grid()[1]) == 9
+    assert len(models.forest_grid().settings) == 12
 
 
 def test_registered_runs_use_the_default_stop_words():
