@@ -235,6 +235,26 @@ def test_small_blocks_give_the_same_models(spark, monkeypatch):
     assert parts.converged.all() and np.allclose(whole.w, parts.w, atol=2e-3)
 
 
+def test_sharing_out_problems_or_rows_gives_the_same_models(spark, monkeypatch):
+    df = od.stratified_folds(blobs(spark, 45), "label", "doc_id", k=2)
+    grid = models.logistic_grid((0.1, 1.0))
+    few = linear.design(df, fold="fold")
+    problems = few.problems(grid.settings, [0, 1, -1])
+    assert few.held is not None
+    shared = linear.solve(few, problems)
+    few.free()
+    monkeypatch.setattr(linear, "SHARED_ENTRIES", 0)
+    monkeypatch.setattr(linear, "TASK_ENTRIES", 30)
+    many = linear.design(df, fold="fold")
+    assert many.held is None and many.blocks.getNumPartitions() > 1
+    dealt = linear.solve(many, problems)
+    many.free()
+    assert shared.converged.all() and dealt.converged.all()
+    # Rows' own columns are numbered by place in both; columns of shared features agree.
+    n = few.n_shared + 1
+    assert few.n_shared == many.n_shared and np.allclose(shared.w[:n], dealt.w[:n], atol=5e-3)
+
+
 def test_run_models(spark):
     df = blobs(spark)
     specs = {
