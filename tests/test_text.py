@@ -107,6 +107,17 @@ def test_lemmatise_with_repeated_ids_and_tokens(spark):
     assert out == [(1, ["b", "sale"]), (1, ["sale", "fell"]), (2, []), (3, [])]
 
 
+def test_lemmatise_moves_no_row_with_each_token(spark):
+    """Exploded rows carried their whole list, which made the shuffle grow with the square of a text."""
+    df = spark.createDataFrame([(1, ["sales", "fell", None, "sales"]), (2, ["sales:4", "fell"])], "id int, t array<string>")
+    table = spark.createDataFrame([("sales", "sale"), ("sales:4", "x")], "token string, lemma string")
+    out = tx.lemmatise_with_table(df, "t", table)
+    assert sorted(tuple(r) for r in out.collect()) == [(1, ["sale", "fell", None, "sale"]), (2, ["x", "fell"])]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    generate = plan[plan.index("Generate explode"):].split("\n")[0]
+    assert "_row" not in plan and "array_distinct" in generate and "posexplode" not in plan
+
+
 def test_times(spark):
     good = ["20240105123000", "20240105T123000Z", " 20240105123000 ", ""]
     got = one(spark, good, parse_seen_time("text"))
