@@ -134,6 +134,41 @@ def test_tfidf_forms_agree(spark, tmp_path):
     assert {r["term"] for r in top} == {"a", "b"}
 
 
+def _exchanges(df) -> int:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning")
+
+
+def test_terms_are_counted_where_their_texts_are(spark):
+    """(id, term, tf) rows went through a shuffle of their own before the terms did."""
+    df = spark.createDataFrame([(1, "a b a"), (1, "b"), (2, None)], "doc_id int, text string")
+    derive = lambda texts: texts.select("doc_id", F.split("text", " ").alias("t"))
+    frequencies = ti.term_frequencies(df, "doc_id", "t", derive)
+    assert _exchanges(frequencies) == 1 and _exchanges(ti.vocabulary(frequencies)) == 2
+    assert sorted(tuple(r) for r in frequencies.collect()) == [(1, "a", 2), (1, "b", 2)]
+    assert sorted(tuple(r) for r in ti.vocabulary(frequencies).collect()) == [("a", 1, 2), ("b", 1, 2)]
+
+
+def test_tfidf_moves_texts_and_distinct_terms_only(spark):
+    """Texts are shuffled twice, once together with the answers, a block's distinct terms once; there is no join on every (text, term)."""
+    rows = [(i, " ".join(f"w{(i * k) % 7}" for k in range(i % 5))) for i in range(40)] + [(3, "w1 x"), (None, "w1 y")]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    derive = lambda texts: texts.select(*[c for c in texts.columns if c != "text"], F.split("text", " ").alias("t"))
+    out = ti.tfidf_long(df, "doc_id", "t", derive=derive)
+    assert _exchanges(out) == 3 and "Join" not in out._jdf.queryExecution().executedPlan().toString()
+    tf = {}
+    for i, text in rows:
+        for w in text.split(" "):
+            tf[i, w] = tf.get((i, w), 0) + 1
+    df_ = {w: sum(x == w for _, x in tf) for _, w in tf}
+    raw = {(i, w): n * (np.log((1 + len(rows)) / (1 + df_[w])) + 1) for (i, w), n in tf.items()}
+    norm = {i: np.sqrt(sum(v * v for (j, _), v in raw.items() if j == i)) for i, _ in tf}
+    got = {(r["doc_id"], r["term"]): (r["tf"], r["df"], r["tfidf"]) for r in out.collect()}
+    assert got.keys() == tf.keys()
+    for (i, w), (n, d, x) in got.items():
+        assert (n, d) == (tf[i, w], df_[w]) and abs(x - raw[i, w] / norm[i]) < 1e-12
+
+
 def test_embedding_cache_and_alignment(spark, tmp_path):
     calls = spark.sparkContext.accumulator(0)
 
