@@ -398,6 +398,21 @@ def test_boosting_is_brute_force_on_any_number_of_tasks(spark, monkeypatch, cell
     assert all(abs(r["n"] - 80) < 1e-9 for r in cover)
 
 
+def test_more_models_do_not_deal_the_rows_further(spark, monkeypatch):
+    """Rows were dealt by rows x features x models, and the sums of all models met in every task's memory."""
+    dealt, train = [], boosting._train
+    monkeypatch.setattr(boosting, "TASK_CELLS", 200)
+    monkeypatch.setattr(boosting, "CHUNK_CELLS", 30)
+    monkeypatch.setattr(boosting, "_train", lambda rows, runs, o, cuts, parts, path: (dealt.append(parts), train(rows, runs, o, cuts, parts, path)))
+    x = np.random.default_rng(3).integers(0, 6, (60, 3)).astype(float)
+    df = spark.createDataFrame([(i, i % 2, float(x[i, 0]), x[i].tolist()) for i in range(60)], "id long, block int, y double, features array<double>")
+    made = boosting.boost(df, [boosting.Run((0, 1), (0, 1), 0.3, 2, (r,)) for r in (1, 2, 3)], boosting.Objective(boosting.SQUARED))
+    assert set(dealt) == {1}
+    want, _ = brute_trees(x, x[:, 0], 3, 2, 0.3, boosting.quantile_cuts(df, "features", 64))
+    got = {r["id"]: r["margins"][0] for r in made.predictions.filter("run = 2").collect()}
+    assert np.allclose([got[i] for i in range(60)], want, atol=1e-9)
+
+
 def test_boosted_search_learns_classes(spark):
     df = od.stratified_folds(blobs(spark, 90), "label", "doc_id", k=3)
     df = df.withColumn("features", vector_to_array("features"))
