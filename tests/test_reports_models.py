@@ -169,6 +169,20 @@ def test_tfidf_moves_texts_and_distinct_terms_only(spark):
         assert (n, d) == (tf[i, w], df_[w]) and abs(x - raw[i, w] / norm[i]) < 1e-12
 
 
+def test_vectors_look_their_terms_up_once_a_block(spark):
+    """Every (text, term) was joined with the vocabulary by term, twice."""
+    df = spark.createDataFrame([(i, f"a b{i % 3} c{i}") for i in range(9)], "doc_id int, text string")
+    derive = lambda texts: texts.withColumn("t", F.split("text", " ")).drop("text")
+    model = ti.TfidfVectors("t", "v", derive=derive).fit(df)
+    entries = model.entries(df)
+    plan = entries._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 1 and plan.count("RepartitionByExpression") == 2
+    names = {r["pos"]: r["term"] for r in model.vocabulary.collect()}
+    long = {(r["doc_id"], r["term"]): r["tfidf"] for r in ti.tfidf_long(df, "doc_id", "t", derive=derive).collect()}
+    got = {(r["doc_id"], names[r["pos"]]): r["value"] for r in entries.collect()}
+    assert got.keys() == long.keys() and all(abs(got[k] - long[k]) < 1e-12 for k in long)
+
+
 def test_embedding_cache_and_alignment(spark, tmp_path):
     calls = spark.sparkContext.accumulator(0)
 
