@@ -304,6 +304,27 @@ def test_sharing_out_problems_or_rows_gives_the_same_models(spark, monkeypatch):
     assert few.n_shared == many.n_shared and np.allclose(shared.w[:n], dealt.w[:n], atol=5e-3)
 
 
+def test_coefficients_are_dealt_and_stored(spark, monkeypatch):
+    """No coefficient passes through the driver: they are in parts and end in a table, whichever part has the frequent features."""
+    df = od.stratified_folds(blobs(spark, 60), "label", "doc_id", k=2)
+    for name, value in {"SHARED_ENTRIES": 0, "TASK_ENTRIES": 30, "PART_COLUMNS": 2, "HEAD": 1}.items():
+        monkeypatch.setattr(linear, name, value, raising=False)
+    made = linear.design(df, fold="fold")
+    assert made.n_parts > 2 and made.blocks.getNumPartitions() > 1 and len(made.head) == 2
+    settings = [linear.Setting()]
+    solved = linear.solve(made, made.problems(settings, [0, 1]))
+    assert solved.converged.all() and not any(isinstance(x, np.ndarray) and x.ndim > 1 for x in vars(solved).values())
+    assert {r["problem"] for r in solved.weights.collect()} == set(range(6))
+    assert {k: sum(v.values()) for k, v in solved.cells.items()} == {(0, f): 30 for f in (0, 1)}
+    made.free()
+    monkeypatch.setattr(linear, "SHARED_ENTRIES", 1 << 20)
+    few = linear.design(df, fold="fold")
+    shared = linear.solve(few, few.problems(settings, [0, 1]))
+    few.free()
+    n = few.n_shared + 1
+    assert shared.cells == solved.cells and np.allclose(shared.w[:n], solved.w[:n], atol=5e-3)
+
+
 def test_run_models(spark):
     df = blobs(spark)
     specs = {
